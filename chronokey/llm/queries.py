@@ -7,17 +7,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import mixing, pieces, sharding, simhash
 from .shared import read
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer's file, the same on the driver and the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shard(read(spark, sf_dir, "documents"), shards=24)
+    return rows.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "source")
+
+
+def op5_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_stratified_interleaving": op1_stratified_interleaving,
+    "op5_pareto_mixing": op5_pareto_mixing,
+    "op7_piece_encoding": op7_piece_encoding,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_pareto_mixing": mixing.mix_sql(),
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pieces, sharding, simhash
+from . import ann, counts, mixing, pieces, quality, sharding, simhash, toxicity
 from .shared import read
 
 
@@ -23,6 +23,22 @@ def op1_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "source")
 
 
+def not_held_out(id_col: str = "doc_id"):
+    """Rows to learn labels from: crc32 of the id as text, modulo 5, isn't 0."""
+    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5)) != 0
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), not_held_out())
+    rows = toxicity.score(docs, model)
+    return rows.select("doc_id", (~not_held_out()).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op5_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mix(read(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", "taken")
@@ -37,11 +53,25 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.select(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"), "quality")
+    return rows.select("doc_id", "expected_grade", "p_top", "keep")
+
+
+def op10_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return counts.count_tokens(docs, tokenizer("piece_bpe_32k.model")).select("doc_id", "n_tokens")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_stratified_interleaving": op1_stratified_interleaving,
+    "op2_toxicity": op2_toxicity,
+    "op3_projection_forest": op3_projection_forest,
     "op5_pareto_mixing": op5_pareto_mixing,
     "op7_piece_encoding": op7_piece_encoding,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_ordinal_quality": op9_ordinal_quality,
+    "op10_unigram_counts": op10_unigram_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -28,7 +28,7 @@ from .shared import arrow_schema, written
 SAMPLE = 20_000
 TREES = 16
 DEPTH = 7
-REACH = 1.0
+REACH = 1.25
 #: Least vectors of the sample in a leaf.
 LEAF = 32
 #: Rows of a leaf that one task reads.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, counts, mixing, pieces, quality, sharding, simhash, toxicity
+from . import ann, audio, counts, mixing, pieces, quality, sharding, simhash, toxicity, warc
 from .shared import read
 
 
@@ -39,11 +39,26 @@ def op3_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op4_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No table holds audio, so each embedding is rendered as a WAV recording of as many notes as it has components."""
+    rows = audio.match(read(spark, sf_dir, "embeddings"), F.col("rec_id") % 100 == 0, "vec_id", audio=(["embedding"], audio.tone_row))
+    return rows.withColumnRenamed("rec_id", "vec_id")
+
+
 def op5_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mix(read(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page is taken as a response record with the headers a server would have sent."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.coalesce(F.octet_length("html"), F.lit(0)).cast("string"))
+    source_id = F.concat(F.lit("<urn:page:"), F.col("page_id").cast("string"), F.lit(">"))
+    rows = warc.derivatives(pages, source_id, F.col("url"), F.col("html"), http, keep=["page_id"])
+    return rows.select("page_id", "warc_type", "record_id", "refers_to", "target_uri", "source_digest", "block_digest", "content_length", F.crc32("record").alias("record_crc32"))
+
+
 def op7_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
@@ -67,7 +82,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_stratified_interleaving": op1_stratified_interleaving,
     "op2_toxicity": op2_toxicity,
     "op3_projection_forest": op3_projection_forest,
+    "op4_chroma_fingerprints": op4_chroma_fingerprints,
     "op5_pareto_mixing": op5_pareto_mixing,
+    "op6_warc_derivatives": op6_warc_derivatives,
     "op7_piece_encoding": op7_piece_encoding,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_ordinal_quality": op9_ordinal_quality,

@@ -61,7 +61,12 @@ def map_texts(df: DataFrame, schema: str, work: Callable[[list], list[list]]) ->
                 cols = work([c.to_pylist() for c in part.columns])
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, out, strict=True)], schema=out)
 
-    return df.mapInArrow(run, schema)
+    return plain_names(df).mapInArrow(run, schema)
+
+
+def plain_names(df: DataFrame) -> DataFrame:
+    """Columns by place: mapInArrow finds its columns by name, which fails for clashing or dotted ones."""
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns))))
 
 
 def slices(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -89,7 +94,7 @@ def appended(df: DataFrame, inputs: list[str], schema: str, work: Callable[[list
                 made = [pa.array(c, out.field(len(kept) + k).type) for k, c in enumerate(cols)]
                 yield pa.RecordBatch.from_arrays([part.column(i).cast(out.field(k).type) for k, i in enumerate(kept)] + made, schema=out)
 
-    return df.mapInArrow(run, full)
+    return plain_names(df).mapInArrow(run, full)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -27,9 +27,11 @@ from pyspark.sql import functions as F
 from .shared import appended, arrow_schema, map_texts, slices, written
 
 SAMPLE = 12_000
-TERMS = 2_000
-#: Least likelihood ratio (2 ln) and log odds of an entry.
-LEAST_RATIO, LEAST_ODDS = 17.5, 3.0
+TERMS = 96
+#: Longest entry; a longer word only has its beginning looked at, by stems.
+LONGEST = 24
+#: Least likelihood ratio (2 ln) of an entry, alone and against the best entry's, and its least log odds.
+LEAST_RATIO, LEAST_SHARE, LEAST_ODDS = 17.5, 0.05, 3.0
 WINDOW = 6
 KEPT = 400_000
 QUOTES = "\"'“”„‟«»‹›‘’`"
@@ -68,6 +70,7 @@ class Trie:
 
     def find(self, word: str) -> tuple[str, int] | None:
         """The entry with the fewest edits to word (or to a beginning of it, for a stem), then the heaviest."""
+        word = word[: LONGEST + 4]
         if not self.sieve.may_match(word):
             return None
         n, masks = len(word), {}
@@ -197,14 +200,14 @@ def candidates(text: str | None) -> set[str]:
     """Entries a text could support: its words, and their beginnings of four characters or more as stems."""
     found = set()
     for w in {x.lower().strip(EDGES) for x in (text or "").split()}:
-        if 3 <= len(w) <= 24:
+        if 3 <= len(w) <= LONGEST:
             found.add(w)
             found.update(w[:k] + "*" for k in range(4, min(len(w), 9)))
     return found
 
 
 def lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, float]:
-    """rows (text, toxic) -> entries with log odds, the strongest `terms`. A stem only if none longer has its support."""
+    """rows (t, toxic) -> entries with log odds, the strongest `terms`, none of which begins with a stem among them."""
     out = arrow_schema("term string, bad long, good long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,6 +219,7 @@ def lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, float]:
                 keys = list(bad.keys() | good.keys())
                 yield pa.RecordBatch.from_arrays([pa.array(keys, out.field(0).type), pa.array([bad[k] for k in keys], pa.int64()), pa.array([good[k] for k in keys], pa.int64())], schema=out)
 
+    rows = rows.dropDuplicates(["t", "toxic"])  # copies of a text are one witness
     n = rows.agg(F.count(F.when(F.col("toxic") == 1, 1)).alias("bad"), F.count(F.when(F.col("toxic") == 0, 1)).alias("good")).first()
     if not n["bad"] or not n["good"]:
         return {}
@@ -227,15 +231,22 @@ def lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, float]:
     ratio = 2 * seen * (part * F.log(part / p) + F.when(part < 1, (1 - part) * F.log((1 - part) / (1 - p))).otherwise(0.0))
     odds = F.log((F.col("bad") + 0.5) / (b + 1)) - F.log((F.col("good") + 0.5) / (g + 1))
     top = counts.where("bad > 1").withColumn("ratio", ratio).withColumn("odds", odds).where((F.col("ratio") >= LEAST_RATIO) & (F.col("odds") >= LEAST_ODDS))
-    top = top.orderBy(F.desc("ratio"), "term").limit(4 * terms).collect()  # bounded by terms
-    bad = {r["term"]: r["bad"] for r in top}
-    longer: dict[str, int] = {}
-    for term, n_bad in bad.items():
-        chars = term.rstrip("*")
-        for k in range(4, len(chars) + (not term.endswith("*"))):
-            longer[chars[:k] + "*"] = max(longer.get(chars[:k] + "*", 0), n_bad)
-    kept = [r for r in top if not r["term"].endswith("*") or longer.get(r["term"], 0) < 0.9 * r["bad"]]
-    return {r["term"]: float(r["odds"]) for r in kept[:terms]}
+    # Ties: the longest, a whole word before a stem. Bounded, as entries are.
+    top = top.orderBy(F.desc("ratio"), F.desc(F.length("term") - F.when(F.col("term").endswith("*"), 1.5).otherwise(0.0)), "term").limit(64 * terms).collect()
+    kept: dict[str, tuple[float, int]] = {}
+    for r in top:
+        chars = r["term"].rstrip("*")
+        if r["ratio"] < LEAST_SHARE * top[0]["ratio"]:
+            break
+        covered = any(chars[:k] + "*" in kept for k in range(4, len(chars) + 1))
+        stands_for = sum(bad for t, (_, bad) in kept.items() if t.startswith(chars)) if r["term"].endswith("*") else 0
+        if not covered and stands_for < 0.9 * r["bad"]:
+            if stands_for:  # a stem that adds to its extensions replaces them
+                kept = {t: v for t, v in kept.items() if not t.startswith(chars)}
+            kept[r["term"]] = (float(r["odds"]), r["bad"])
+        if len(kept) == terms:
+            break
+    return {t: odds for t, (odds, _) in kept.items()}
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 40) -> np.ndarray:

@@ -3,7 +3,7 @@
 Fit: each tree splits a bounded sample (`SAMPLE` vectors, by hash of the id) at the median of a random projection, down
 to leaves of a fixed share of it; the forest's size is bounded by the sample. Every row is routed to its leaf in each
 tree. Search: one queue holds the nodes of all trees by the squared margins crossed so far; leaves are opened, nearest
-first, until those opened hold `reach` of all rows (with multiplicity over the trees). The candidates of an opened leaf
+first, until those opened hold `reach` of all rows (with multiplicity over the trees) and `LEAST` rows of each tree. The candidates of an opened leaf
 are reranked exactly, in double precision on the original vectors.
 
 Scale: equal vectors collapse to one class first (a vector held by a third of all rows is indexed once; a class keeps
@@ -31,6 +31,8 @@ DEPTH = 7
 REACH = 1.25
 #: Least vectors of the sample in a leaf.
 LEAF = 32
+#: Rows of each tree that a search opens at least, whatever the reach: small tables are searched whole.
+LEAST = 64
 #: Rows of a leaf that one task reads.
 SLICE = 20_000
 
@@ -231,7 +233,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_
     shared = spark.sparkContext.broadcast(forest)
     slices = F.element_at(F.array(*[F.lit(int(x)) for x in np.maximum(1, -(-forest.sizes.max(axis=1) // SLICE))]), F.col("tree") + 1)
     asks = rows.where("asks").select(F.col("vec_id").alias("query_id"), "vec").distinct()
-    probes = asks.mapInArrow(_probes(shared, reach * total), "query_id long, vec array<double>, tree int, leaf int")
+    probes = asks.mapInArrow(_probes(shared, reach * total + LEAST * trees), "query_id long, vec array<double>, tree int, leaf int")
     probes = probes.withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
     content = index.withColumn("slice", F.pmod(F.xxhash64("class"), slices.cast("long")).cast("int"))
     both = probes.select("tree", "leaf", "slice", F.lit(0).alias("is_row"), F.col("query_id").alias("id"), "vec", F.array().cast("array<bigint>").alias("ids")).union(content.select("tree", "leaf", "slice", F.lit(1), F.col("class"), "vec", "ids"))

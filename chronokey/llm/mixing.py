@@ -106,28 +106,36 @@ def chosen() -> Column:
     return F.exists("rounds", lambda r: (F.col("size") <= r["fits"]) & (F.col("rank") <= r["cut"]))
 
 
-def mix(docs: DataFrame, seed: int = 7, share: float = SHARE, weights: tuple = WEIGHTS, most: float = MOST, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """docs with size, source_size, target, copies (0 to `most`) and taken = copies * size; clashing columns are replaced.
+def _mixed(docs: DataFrame, seed: int = 7, share: float = SHARE, weights: tuple = WEIGHTS, most: float = MOST, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """docs with its columns named by place (c0, c1, ...), then size, source_size, target and copies."""
+    at = {c: f"c{docs.columns.index(c)}" for c in (id_col, text_col, source_col)}
+    docs = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    size, u = word_count(F.col(at[text_col])), draw(seed, F.col(at[id_col]), F.col(at[text_col]))
+    slim = written(docs.select(F.col(at[source_col]).alias("source"), size.alias("size"), u.alias("u")), "sizes")
+    per = plan(slim, share, weights, most).select(F.col("source").alias("g_source"), "source_size", "target", "whole", "p", "rounds")
+    rows = docs.select(*docs.columns, size.alias("size"), u.alias("u"))
+    rows = rows.join(per, rows[at[source_col]].eqNullSafe(per.g_source)).withColumn("rank", rank_of(F.col("u"), F.col("p")))
+    copies = F.col("whole") + F.when((F.col("size") > 0) & (F.col("p") > 0) & chosen(), 1).otherwise(0)
+    return rows.select(*docs.columns, "size", "source_size", "target", copies.cast("long").alias("copies"))
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """docs with size, source_size, target, copies (0 to `most`) and taken = copies * size; columns of these names are replaced.
 
     A null or wordless text has size 0 and is taken as often as its source is for certain. A null source is a source
     like any other, the last. Rows repeated in id and text share their draw: all are taken or none. A source's taken
-    words miss its target by less than the smallest document left out.
+    words miss its target by less than the smallest document left out; a source without words has the target 0.
     """
-    size, u = word_count(F.col(text_col)), draw(seed, F.col(id_col), F.col(text_col))
-    slim = written(docs.select(F.col(source_col).alias("source"), size.alias("size"), u.alias("u")), "sizes")
-    per = plan(slim, share, weights, most).select(F.col("source").alias("g_source"), "source_size", "target", "whole", "p", "rounds")
-    own = [c for c in docs.columns if c.lower() not in {"size", "source_size", "target", "copies", "taken", "whole", "p", "rounds", "u", "rank", "g_source"}]
-    rows = docs.select(*own, size.alias("size"), u.alias("u"))
-    rows = rows.join(per, rows[source_col].eqNullSafe(per.g_source)).withColumn("rank", rank_of(F.col("u"), F.col("p")))
-    copies = F.col("whole") + F.when((F.col("size") > 0) & (F.col("p") > 0) & chosen(), 1).otherwise(0)
-    return rows.select(*own, "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    rows = _mixed(docs, **options)
+    own = [F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns) if c.lower() not in {"size", "source_size", "target", "copies", "taken"}]
+    return rows.select(*own, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: rows of docs, each as often as taken."""
-    own = docs.columns
-    rows = mix(docs, **options).where("copies > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(own)
+    """The mix itself: rows of docs, all its columns, each as often as taken."""
+    rows = _mixed(docs, **options).where("copies > 0")
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return rows.select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))
 
 
 def mix_sql(seed: int = 7, share: float = SHARE, weights: tuple = WEIGHTS, most: float = MOST) -> str:

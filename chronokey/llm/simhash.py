@@ -247,13 +247,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each component of near_duplicates(docs): the smallest doc_id, then text hash."""
+    """docs with one row of each component of near_duplicates(docs): the smallest doc_id (nulls last), then text hash.
+
+    Rows repeated in id and text count as one. Columns come back as they were, whatever their names.
+    """
     found = written(found.select("doc_id", "text_hash", "root"), "components")
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("s"))
-    first = first.select("root", "s.doc_id", "s.text_hash")
+    first = first.select("root", F.col("s.doc_id").alias("f_id"), F.col("s.text_hash").alias("f_hash"))
     copies = found.groupBy("doc_id", "text_hash").count()
-    keep = first.join(copies, [first.doc_id.eqNullSafe(copies.doc_id), first.text_hash == copies.text_hash]).select(first.doc_id.alias("k_id"), first.text_hash.alias("k_hash"), (F.col("count") > 1).alias("k_many"))
-    rows = docs.join(keep.distinct(), [docs[id_col].cast("long").eqNullSafe(F.col("k_id")), F.xxhash64(docs[text_col]) == F.col("k_hash")])
-    single = rows.where("NOT k_many").select(docs.columns)
-    many = rows.where("k_many").dropDuplicates(["k_id", "k_hash"]).select(docs.columns)
-    return single.union(many)
+    keep = first.join(copies, [F.col("f_id").eqNullSafe(F.col("doc_id")), F.col("f_hash") == F.col("text_hash")])
+    keep = keep.select(F.col("f_id").alias("k_id"), F.col("f_hash").alias("k_hash"), (F.col("count") > 1).alias("k_many")).distinct()
+    ident, text = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
+    rows = docs.toDF(*(f"c{k}" for k in range(len(docs.columns)))).join(keep, [ident.cast("long").eqNullSafe(F.col("k_id")), F.xxhash64(text) == F.col("k_hash")])
+    own = [F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)]
+    many = rows.where("k_many").dropDuplicates(["k_id", "k_hash"])  # only rows that repeat are compared
+    return rows.where("NOT k_many").select(*own).union(many.select(*own))

@@ -1,0 +1,214 @@
+"""Piece encoding, token counts, toxicity and quality."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from chronokey.llm import counts, pieces, quality, toxicity
+from pyspark.sql import functions as F
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+ODD = ["", " ", "  a", "a  b", "a\tb\n\nc", "▁x", "a▁b", "é ﬁ Ⅳ\xa0x", "\x00z", "�", "𝄞", "a ", "<s> </s>", "<unk>", "<0x41>", "A​B", "　x", "     five   spaces  end   ", "🤖 🤖é", "\r\n \r\n", "({});\r\n", "ﷺ" * 5, "nospaces" * 3000, "x" * 200]
+
+
+def texts():
+    rng = random.Random(4)
+    return ODD + ["".join(rng.choice("abcde thing ▁ \n\t.,;é🤖\r{}()▁  ") for _ in range(rng.randint(0, 60))) for _ in range(300)]
+
+
+def test_pieces_equal_the_library():
+    m = pieces.model(PATH)
+    for t in texts():
+        ids = m.library.encode(t)
+        assert m.encode(t) == ids and m.decode(ids) == m.library.decode(ids)
+    rng = random.Random(5)
+    for _ in range(300):
+        ids = [rng.randrange(0, 600) for _ in range(12)]
+        assert m.decode(ids) == m.library.decode(ids)
+
+
+def test_both_agendas():
+    m = pieces.model(PATH)
+    rng = random.Random(6)
+    for _ in range(200):
+        run = "".join(rng.choice("theinsaro ▁") for _ in range(rng.randint(1, 40)))
+        assert m.merge(run) == m._merge_heap(run)
+
+
+def test_piece_columns(spark):
+    t = texts()
+    d = spark.createDataFrame([(i, x, "old") for i, x in enumerate(t)] + [(None, None, "old"), (1, t[1], "old")], "doc_id long, text string, IDS string")
+    lib = pieces.model(PATH).library
+    rows = pieces.digests(d, PATH).collect()
+    assert len(rows) == len(t) + 2
+    for r in rows:
+        x = "" if r["doc_id"] is None else t[r["doc_id"]]
+        ids = lib.encode(x)
+        assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(lib.decode(ids).encode()).hexdigest()
+    full = pieces.encode(d, PATH)
+    assert full.columns == ["doc_id", "text", "ids", "decoded"]
+    assert all(list(r["ids"]) == lib.encode(r["text"] or "") and r["decoded"] == lib.decode(list(r["ids"])) for r in full.collect())
+    assert pieces.digests(d.limit(0), PATH).count() == 0
+
+
+def test_a_wrong_unit_is_reported(monkeypatch):
+    known = pieces._Known(pieces.model(PATH))
+    known.new.append(("▁abc", [1, 2, 3]))
+    with pytest.raises(ValueError):
+        known.check()
+
+
+def test_counts_equal_the_library(spark):
+    from tokenizers import Tokenizer, models, normalizers
+
+    tk = Tokenizer(models.Unigram(counts.vocabulary(PATH), unk_id=0, byte_fallback=True))
+    tk.normalizer = normalizers.Sequence([normalizers.Replace(" ", "▁"), normalizers.Prepend("▁")])
+    t = texts()
+    d = spark.createDataFrame([(i, x) for i, x in enumerate(t)] + [(None, None)], "doc_id long, text string")
+    for r in counts.count_tokens(d, PATH).collect():
+        assert r["n_tokens"] == (len(tk.encode(t[r["doc_id"]], add_special_tokens=False).ids) if r["text"] else 0)
+    assert counts.count_tokens(d.limit(0), PATH).count() == 0
+
+
+def test_counts_ties():
+    """Equal scores: the longest entry stands; brute force over all ways gives the same best score."""
+    from functools import cache
+
+    entries = [("<unk>", 0.0), ("▁", -1.0), ("a", -2.0), ("b", -2.0), ("aa", -4.0), ("ab", -4.0), ("aab", -5.0), ("ba", -3.0), ("<0x63>", -9.0)]
+    m = counts.Unigram(entries)
+    score = dict(entries)
+
+    @cache
+    def best(s):
+        if not s:
+            return 0.0
+        ways = [best(s[:-k]) + score[s[-k:]] for k in range(1, len(s) + 1) if s[-k:] in score]
+        return max(ways + ([best(s[:-1]) + m.unknown] if s[-1] not in score else []))
+
+    rng = random.Random(1)
+    for _ in range(100):
+        s = "▁" + "".join(rng.choice("abc") for _ in range(rng.randint(0, 9)))
+        assert best(s) <= 0 and m.count(s) >= 1
+    assert m.count("▁aa") == 2 and m.count("▁ab") == 2 and m.count("▁abab") == 4 and m.count("▁c") == 2
+
+
+def brute(entries, word):
+    """Edit distances by dynamic programming."""
+    found = None
+    for e, weight in entries.items():
+        chars, stem = e.rstrip("*"), e.endswith("*")
+        row = list(range(len(word) + 1))
+        for i, c in enumerate(chars, 1):
+            new = [i]
+            for j, w in enumerate(word, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != w)))
+            row = new
+        d, most = (min(row), min(1, toxicity.edits(len(chars) - 1))) if stem else (row[-1], toxicity.edits(len(chars)))
+        if d <= most and (found is None or (d, -weight, e) < found):
+            found = (d, -weight, e)
+    return found and (found[2], found[0])
+
+
+def test_levenshtein_automaton():
+    rng = random.Random(3)
+    for _ in range(60):
+        entries = {"".join(rng.choice("abcde") for _ in range(rng.randint(3, 12))) + rng.choice(["", "*"]): rng.random() for _ in range(12)}
+        entries = {k: v for k, v in entries.items() if not k.endswith("*") or len(k) > 4}
+        trie = toxicity.Trie(entries)
+        for _ in range(50):
+            w = list(rng.choice(list(entries)).rstrip("*"))
+            for _ in range(rng.randint(0, 3)):
+                at = rng.randrange(len(w))
+                w[at : at + rng.randint(0, 1)] = rng.choice(["", "a", "b", "c"])
+                w = w or ["a"]
+            w = "".join(w) + rng.choice(["", "ab"])
+            assert trie.find(w) == brute(entries, w)
+    assert toxicity.Trie({}).find("word") is None
+
+
+def labelled(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("lmnrst") + rng.choice("aeiou") for _ in range(3)) for _ in range(300)]
+    rows, labels = [], []
+    for i in range(400):
+        own = [rng.choice(words) for _ in range(60)]
+        toxic = i % 5 == 0
+        if toxic:
+            for w in rng.sample(["vilegob", "horridact", "wretchly"], 2):
+                own.insert(rng.randrange(60), w)
+        rows.append((i, " ".join(own), "x"))
+        labels.append((i, int(toxic), i % 3))
+    return rows, labels, words
+
+
+def test_toxicity(spark):
+    rows, labels, words = labelled(spark)
+    extra = [(1000, " ".join(words[:40] + ["vilegop", "horidact"]), "x"), (1001, None, None), (1002, "", None), (1003, " ".join(words * 100), None), (None, " ".join(words[:30]), None)]
+    d = spark.createDataFrame(rows + extra, "doc_id long, text string, toxicity string")
+    labs = spark.createDataFrame(labels + [(None, 1, 1), (5000, 1, 1), (3, None, None)], "doc_id long, toxic int, quality int")
+    m = toxicity.train(d, labs, F.col("doc_id") % 2 == 0)
+    assert {"vilegob", "horridact", "wretchly"} <= set(m.entries)
+    out = toxicity.score(d, m)
+    assert out.columns == ["doc_id", "text", "toxicity"]
+    s = {r["doc_id"]: r["toxicity"] for r in out.collect()}
+    assert all((s[i] >= 0.5) == (i % 5 == 0) for i in range(400) if i % 2) and s[1000] >= 0.5
+    assert max(s[i] for i in (1001, 1002, 1003, None)) < 0.5
+    assert toxicity.score(d.limit(0), m).count() == 0
+    none = toxicity.train(d, labs.limit(0), F.lit(True))
+    assert none.entries == {} and max(r["toxicity"] for r in toxicity.score(d, none).collect()) < 0.5
+
+
+def test_context():
+    look = toxicity._Words(toxicity.ToxicModel({"vilegob": 5.0}))
+    at = toxicity.FEATURES.index
+    plain, told, marked = (toxicity.measure(look, t) for t in ("what a vilegob he is", "she said the word vilegob was used", 'the label "vilegob" came later'))
+    assert plain[at("exact")] > 0 == plain[at("quoted")]
+    assert told[at("quoted")] > 0 == told[at("exact")] and marked[at("quoted")] > 0 == marked[at("exact")]
+    assert toxicity.measure(look, "you vilegob")[at("addressed")] > 0
+
+
+def test_quality(spark):
+    rows, labels, words = labelled(spark)
+    rng = random.Random(2)
+    marks = {0: "###", 1: "|", 2: ""}
+    rows = [(i, " ".join(w + (marks[i % 3] if rng.random() < 0.5 else "") for w in t.split()), "x") for i, t, _ in rows]
+    d = spark.createDataFrame(rows + [(1001, None, None), (1002, "", None), (1003, "word " * 50_000, None), (None, "a b", None)], "doc_id long, text string, keep string")
+    labs = spark.createDataFrame(labels + [(None, 1, 1), (7, 0, None), (9999, 1, 2)], "doc_id long, toxic int, quality int")
+    train = labs.where("doc_id % 4 <> 0")
+    m = quality.train(d, train, "quality")
+    assert m.grades == [0.0, 1.0, 2.0] and m.thresholds[0] < m.thresholds[1]
+    out = quality.score(d, m)
+    got = {r["doc_id"]: (r["expected_grade"], r["p_top"]) for r in out.collect()}
+    held = [i for i in range(400) if i % 4 == 0]
+    assert np.mean([round(got[i][0]) == i % 3 for i in held]) > 0.9
+    assert np.mean([(got[i][1] >= 0.5) == (i % 3 == 2) for i in held]) > 0.95
+    assert got[1001] == got[1002]
+    kept = quality.select(d, train, "quality")
+    assert kept.columns == ["doc_id", "text", "expected_grade", "p_top", "keep"] and kept.limit(0).count() == 0
+    blank = quality.select(d, labs.limit(0), "quality")
+    assert blank.where("NOT keep").count() == 0
+
+
+def test_ordinal_gradient():
+    """The fitted likelihood is a maximum: small moves of thresholds don't improve it."""
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 6, 600)
+    y = np.clip(np.round(x / 2 + rng.normal(0, 0.7, 600)), 0, 3)
+    m = quality.fit([np.array([k + 10]) for k in x], [np.array([1.0]) for _ in x], y, rounds=600, decay=0.0)
+    s = quality.SCALE * m.weights[x + 10].astype(float)
+
+    def likelihood(t):
+        tail = 1 / (1 + np.exp(-(s[:, None] - t[None, :])))
+        full = np.concatenate([np.ones((600, 1)), tail, np.zeros((600, 1))], axis=1)
+        k = y.astype(int)
+        return np.log(full[np.arange(600), k] - full[np.arange(600), k + 1]).mean()
+
+    base = likelihood(m.thresholds)
+    for k in range(3):
+        for e in (-0.1, 0.1):
+            moved = m.thresholds.copy()
+            moved[k] += e
+            assert likelihood(moved) < base + 1e-3

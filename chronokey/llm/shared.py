@@ -1,10 +1,7 @@
-"""Scratch tables, column hygiene and Arrow plumbing shared by the operators of this subpackage."""
+"""Column hygiene and Arrow plumbing shared by the operators of this subpackage."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,36 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..scratch import written  # noqa: F401  the operators take it from here
+
 #: A word: a maximal run of characters that are neither space nor \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir. Only local mode may fall back on a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    root = os.path.join(tempfile.gettempdir(), f"chronokey-scratch-{os.getpid()}")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage, survives lost executors, runs df once.
-
-    The folder is marked for deletion when the driver's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/chronokey-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def arrow_schema(schema: str | T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

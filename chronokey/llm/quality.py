@@ -10,6 +10,7 @@ table, so scoring costs one look-up for each word.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from dataclasses import dataclass
 from itertools import groupby, islice
@@ -148,7 +149,7 @@ def train(docs: DataFrame, ratings: DataFrame, rating_col: str, id_col: str = "d
     return fit([np.array(x, dtype=np.int64) for x in got["idx"]], [np.array(x, dtype=np.float64) for x in got["share"]], got["r"].to_numpy())
 
 
-_sums: dict[int, _Sums] = {}
+_sums: dict[str, _Sums] = {}
 
 
 def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
@@ -157,7 +158,7 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataF
     A null or wordless text is scored by the thresholds alone.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    tag = shared.id if hasattr(shared, "id") else id(shared)
+    tag = uuid.uuid4().hex  # workers live on: their tables are for one model
 
     def work(cols):
         m = shared.value

@@ -15,6 +15,7 @@ whole in one pass without a shuffle, and matches are kept by word in a bounded p
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -303,7 +304,7 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, label_col: str = "tox
     return ToxicModel(entries, bare.plain, logistic(x, y))
 
 
-_looks: dict[int, _Words] = {}
+_looks: dict[str, _Words] = {}
 
 
 def score(docs: DataFrame, model: ToxicModel, text_col: str = "text") -> DataFrame:
@@ -312,7 +313,7 @@ def score(docs: DataFrame, model: ToxicModel, text_col: str = "text") -> DataFra
     A null or wordless text has the score of one without matches.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    tag = id(shared)
+    tag = uuid.uuid4().hex  # workers live on: their tables are for one model
 
     def work(cols):
         m = shared.value

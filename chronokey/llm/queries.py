@@ -92,5 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_stratified_interleaving": sharding.shard_sql(),
     "op5_pareto_mixing": mixing.mix_sql(),
 }

@@ -66,3 +66,28 @@ def shard(docs: DataFrame, shards: int = 24, seed: int = 11, id_col: str = "doc_
     rows = rows.withColumn("shard", F.expr(f"cast((at * {shards}) div total as int)"))
     start = F.expr(f"(shard * total + {shards} - 1) div {shards}")
     return rows.select("doc_id", "source", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", (F.col("at") - start).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+def crc32_sql(hex_text: str) -> str:
+    """CRC-32 of the bytes that an SQL expression gives in hex, in DuckDB, with a table made by the rule of the code."""
+    table = []
+    for b in range(256):
+        for _ in range(8):
+            b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
+        table.append(b)
+    octets = f"list_transform(regexp_extract_all({hex_text}, '..'), lambda p: ('0x' || p)::BIGINT)"
+    step = f"xor(c >> 8, ({table}::BIGINT[])[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce({octets}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295)"
+
+
+def shard_sql(shards: int = 24, seed: int = 11) -> str:
+    """shard() over the table documents as DuckDB SQL, with the source."""
+    h = f"('0x' || substr(md5('{seed}:' || {{}}), 1, 12))::BIGINT"
+    return f"""WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS x FROM documents),
+s AS (SELECT doc_id, source, (length(x) // 2 + 8)::BIGINT AS size, ({crc32_sql("x")})::BIGINT AS text_crc32,
+  {h.format("md5(t)")} AS ht, {h.format("coalesce(doc_id::VARCHAR, '')")} AS hi FROM d),
+r AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY ht % {TEXT_CELLS} * {ID_CELLS} + hi % {ID_CELLS}, ht, hi, doc_id NULLS FIRST, text_crc32, size) - 0.5::DOUBLE)
+  / count(*) OVER (PARTITION BY source) AS place FROM s),
+g AS (SELECT *, row_number() OVER (ORDER BY place, hi, source NULLS LAST, doc_id NULLS FIRST, text_crc32, size) - 1 AS pos, count(*) OVER () AS total FROM r),
+c AS (SELECT *, (pos * {shards} // total)::INT AS shard FROM g)
+SELECT doc_id, size, text_crc32, '{LAW}' AS law, shard, (pos - (shard * total + {shards - 1}) // {shards})::BIGINT AS slot, NULL::INT AS grown_shard, source FROM c"""

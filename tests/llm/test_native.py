@@ -119,3 +119,15 @@ def test_sql(spark, tmp_path):
     want = con.execute(mixing.mix_sql()).fetchall()
     got = mixing.mix(read(spark, str(tmp_path), "documents")).select("doc_id", "size", "source_size", "target", "taken").collect()
     assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got)
+
+
+def test_shard_sql(spark, tmp_path):
+    import duckdb
+
+    d = docs(spark).drop("u", "size").where("doc_id IS NULL OR doc_id <> 701")
+    d.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(sharding.shard_sql()).fetchall()
+    got = sharding.shard(read(spark, str(tmp_path), "documents")).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "source").collect()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got)

@@ -17,9 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from .pieces import SPACE, units
-from .shared import appended
+from .shared import appended, table
 
-KEPT = 600_000
+KEPT = 400_000
 #: What the library takes off the least score for an unknown character.
 PENALTY = 10.0
 
@@ -84,9 +84,6 @@ class Unigram:
         return n
 
 
-_loaded: dict[str, Unigram] = {}
-
-
 def vocabulary(path: str) -> list[tuple[str, float]]:
     """Entries of a piece model file, in id order, with their scores."""
     import sentencepiece
@@ -96,10 +93,8 @@ def vocabulary(path: str) -> list[tuple[str, float]]:
 
 
 def unigram(path: str) -> Unigram:
-    """One for each worker process and path."""
-    if path not in _loaded:
-        _loaded[path] = Unigram(vocabulary(path))
-    return _loaded[path]
+    """One for each worker process, while it counts."""
+    return table("unigram", path, lambda: Unigram(vocabulary(path)))
 
 
 def count_tokens(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:

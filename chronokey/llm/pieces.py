@@ -16,14 +16,17 @@ import hashlib
 import heapq
 import re
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import appended, map_texts
+from .shared import appended, map_texts, table
 
 SPACE = "▁"
 #: Units kept by a worker. Beyond them a unit is encoded anew, with the same result.
 KEPT = 400_000
+#: Runs inside units kept by a worker.
+KEPT_RUNS = 100_000
 NEVER = 1 << 30
 
 
@@ -108,7 +111,7 @@ class PieceModel:
                 got = [*map(self.id.get, found)]
                 if None in got:
                     got = [x for p, i in zip(found, got) for x in ([i] if i is not None else [self.of_byte[b] for b in p.encode()])]
-                if len(self.parts) < KEPT:
+                if len(self.parts) < KEPT_RUNS:
                     self.parts[run] = got
             ids += got
         return ids
@@ -162,26 +165,23 @@ def units(text: str | None) -> list[str]:
     return re.findall(f"{SPACE}+[^{SPACE}]*", marked)
 
 
-_models: dict[str, PieceModel] = {}
-
-
 def model(path: str) -> PieceModel:
-    """One for each worker process and path."""
-    if path not in _models:
-        _models[path] = PieceModel(path)
-    return _models[path]
+    """One for each worker process, while it encodes."""
+    return known_units(path).m
 
 
 class _Known(dict):
-    """unit -> (ids joined by commas, number of ids, its decoded text as a later unit)."""
+    """unit -> its ids, joined by commas. odd: what a unit decodes to, where that isn't the unit with spaces."""
 
     def __init__(self, m: PieceModel):
-        self.m, self.new = m, []
+        self.m, self.new, self.odd = m, [], {}
 
-    def __missing__(self, unit: str):
+    def __missing__(self, unit: str) -> str:
         ids = self.m.encode_unit(unit)
+        got = ",".join(map(str, ids))
         # As a later unit, the leading space symbol isn't the dummy prefix.
-        got = (",".join(map(str, ids)), len(ids), " " + self.m.decode(ids))
+        if (back := " " + self.m.decode(ids)) != unit.replace(SPACE, " "):
+            self.odd[unit] = back
         self.new.append((unit, ids))
         if len(self) < KEPT:
             self[unit] = got
@@ -198,25 +198,44 @@ class _Known(dict):
         self.new.clear()
 
 
-_known: dict[str, _Known] = {}
+def known_units(path: str) -> _Known:
+    return table("pieces", path, lambda: _Known(PieceModel(path)))
 
 
-def encode_columns(path: str, texts: list[str | None], checked: bool = True, with_ids: bool = False) -> list[list]:
-    known = _known.get(path) or _known.setdefault(path, _Known(model(path)))
-    counts, digests, decoded, all_ids = [], [], [], []
+def encode_lines(path: str, texts: list[str | None], checked: bool = True):
+    """(ids joined by commas, decoded text) of each text."""
+    known = known_units(path)
+    odd = known.odd
     for text in texts:
-        got = [known[u] for u in units(text)]
-        line = ",".join([g[0] for g in got])
-        counts.append(sum([g[1] for g in got]))
-        digests.append(hashlib.sha256(line.encode()).hexdigest())
-        back = "".join([g[2] for g in got])[1:]
-        decoded.append(back if with_ids else hashlib.sha256(back.encode()).hexdigest())
-        if with_ids:
-            all_ids.append([int(x) for x in line.split(",")] if line else [])
-        if len(known.new) > 20_000:
+        parts = units(text)
+        line = ",".join([known[u] for u in parts])
+        if odd and not odd.keys().isdisjoint(parts):
+            back = "".join([odd.get(u) or u.replace(SPACE, " ") for u in parts])[1:]
+        else:
+            back = "".join(parts)[1:].replace(SPACE, " ")
+        if len(known.new) > 10_000:
             known.check() if checked else known.new.clear()
+        yield line, back
     known.check() if checked else known.new.clear()
-    return [all_ids, decoded] if with_ids else [counts, digests, decoded]
+
+
+def encode_columns(path: str, texts: list[str | None], checked: bool = True) -> list[list]:
+    """Number of ids, and SHA-256 of ids and of decoded text, of each text."""
+    counts, digests, decoded = [], [], []
+    for line, back in encode_lines(path, texts, checked):
+        counts.append(line.count(",") + 1 if line else 0)
+        digests.append(hashlib.sha256(line.encode()).hexdigest())
+        decoded.append(hashlib.sha256(back.encode()).hexdigest())
+    return [counts, digests, decoded]
+
+
+def id_columns(path: str, texts: list[str | None], checked: bool = True) -> list[list]:
+    """Ids as arrays, and the decoded text, of each text."""
+    ids, decoded = [], []
+    for line, back in encode_lines(path, texts, checked):
+        ids.append(np.fromstring(line, dtype=np.int32, sep=",") if line else np.empty(0, np.int32))
+        decoded.append(back)
+    return [ids, decoded]
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", checked: bool = True) -> DataFrame:
@@ -224,7 +243,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", checked: bool = T
 
     A null text is an empty one: no ids, decoded "". Repeated rows and any other column pass through.
     """
-    return appended(docs, [text_col], "ids array<int>, decoded string", lambda c: encode_columns(path, c[0], checked, True))
+    return appended(docs, [text_col], "ids array<int>, decoded string", lambda c: id_columns(path, c[0], checked))
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", checked: bool = True) -> DataFrame:

@@ -20,11 +20,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import appended, map_texts
+from .shared import appended, map_texts, table
 
 SAMPLE = 6_000
 WIDTH = 1 << 16
-KEPT = 300_000
+KEPT = 200_000
 ROUNDS = 150
 #: Shares are small; scaled up so that weights stay of order one.
 SCALE = 8.0
@@ -149,9 +149,6 @@ def train(docs: DataFrame, ratings: DataFrame, rating_col: str, id_col: str = "d
     return fit([np.array(x, dtype=np.int64) for x in got["idx"]], [np.array(x, dtype=np.float64) for x in got["share"]], got["r"].to_numpy())
 
 
-_sums: dict[str, _Sums] = {}
-
-
 def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
     """docs with expected_grade double and p_top double (probability of the highest grade); clashing columns are replaced.
 
@@ -162,10 +159,8 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataF
 
     def work(cols):
         m = shared.value
-        if tag not in _sums:
-            _sums.clear()
-            _sums[tag] = _Sums(m.weights)
-        s = np.array([score_text(_sums[tag], t) for t in cols[0]], dtype=np.float64)
+        sums = table("quality", tag, lambda: _Sums(m.weights))
+        s = np.array([score_text(sums, t) for t in cols[0]], dtype=np.float64)
         top = m.tails(s)[:, -1] if len(m.grades) > 1 else np.ones(len(s))
         return [m.expected(s).tolist(), top.tolist()]
 

@@ -42,7 +42,7 @@ def plain_names(df: DataFrame) -> DataFrame:
     return df.toDF(*(f"c{k}" for k in range(len(df.columns))))
 
 
-def slices(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about `most` bytes, so that Python objects of few rows exist at a time."""
     rows, size = batch.num_rows, batch.nbytes
     step = max(1, int(rows * most / max(size, 1)))
@@ -70,6 +70,17 @@ def appended(df: DataFrame, inputs: list[str], schema: str, work: Callable[[list
     return plain_names(df).mapInArrow(run, full)
 
 
+_tables: dict[tuple, object] = {}
+
+
+def table(kind: str, tag: str, make: Callable[[], object]):
+    """A worker process's table for a model. One at a time: workers live on from stage to stage, tables don't."""
+    if (kind, tag) not in _tables:
+        _tables.clear()
+        _tables[kind, tag] = make()
+    return _tables[kind, tag]
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import appended, arrow_schema, map_texts, slices, written
+from .shared import appended, arrow_schema, map_texts, slices, table, written
 
 SAMPLE = 12_000
 TERMS = 96
@@ -34,7 +34,7 @@ LONGEST = 24
 #: Least likelihood ratio (2 ln) of an entry, alone and against the best entry's, and its least log odds.
 LEAST_RATIO, LEAST_SHARE, LEAST_ODDS = 17.5, 0.05, 3.0
 WINDOW = 6
-KEPT = 400_000
+KEPT = 200_000
 QUOTES = "\"'“”„‟«»‹›‘’`"
 EDGES = QUOTES + ".,;:!?()[]{}<>|*#$%&@~^_-+=/\\…"
 REPORTING = frozenset("said says saying wrote writes called calls quoted quote quotes term word words reported stated dit écrit mot sagte schrieb wort dijo escribió palabra".split())
@@ -304,9 +304,6 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, label_col: str = "tox
     return ToxicModel(entries, bare.plain, logistic(x, y))
 
 
-_looks: dict[str, _Words] = {}
-
-
 def score(docs: DataFrame, model: ToxicModel, text_col: str = "text") -> DataFrame:
     """docs with toxicity double, the probability of the toxic label, from the whole text alone; a clashing column is replaced.
 
@@ -317,10 +314,8 @@ def score(docs: DataFrame, model: ToxicModel, text_col: str = "text") -> DataFra
 
     def work(cols):
         m = shared.value
-        if tag not in _looks:
-            _looks.clear()
-            _looks[tag] = _Words(m)
-        x = np.array([measure(_looks[tag], t) for t in cols[0]], dtype=float).reshape(-1, len(FEATURES))
+        look = table("toxicity", tag, lambda: _Words(m))
+        x = np.array([measure(look, t) for t in cols[0]], dtype=float).reshape(-1, len(FEATURES))
         return [(1 / (1 + np.exp(-np.clip(x @ m.weights, -30, 30)))).tolist()]
 
     return appended(docs, [text_col], "toxicity double", work)

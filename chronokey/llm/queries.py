@@ -32,7 +32,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, read(spark, sf_dir, "labels"), not_held_out())
     rows = toxicity.score(docs, model)
-    return rows.select("doc_id", (~not_held_out()).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+    return rows.select("doc_id", F.coalesce(~not_held_out(), F.lit(False)).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
 def op3_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .shared import appended, map_texts, table
 
-SAMPLE = 6_000
+SAMPLE = 4_000
 WIDTH = 1 << 16
 KEPT = 200_000
 ROUNDS = 150
@@ -86,7 +86,8 @@ def fit(rows: list[np.ndarray], values: list[np.ndarray], ratings: np.ndarray, r
     if k == 0:
         return OrdinalModel(grades, np.zeros(WIDTH, np.float32), np.zeros(0))
     y = np.searchsorted(grades, ratings.astype(float))
-    idx, val, row = np.concatenate(rows), np.concatenate(values) * SCALE, np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    idx, val = np.concatenate(rows), np.concatenate(values) * SCALE
+    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     above = (y[:, None] > np.arange(k)[None, :]).astype(float)
     share = np.clip(above.mean(axis=0), 1e-3, 1 - 1e-3)
     start = -np.log(share / (1 - share))

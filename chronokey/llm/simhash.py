@@ -13,7 +13,8 @@ emits only a spanning forest of its links (never all pairs), found by breadth-fi
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice, repeat
+from itertools import groupby, islice, repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,10 @@ SEGMENTS = ((0, 21), (21, 21), (42, 22))
 MOST = 4
 #: Groups up to this size are compared by shifted whole-batch subtraction, larger ones one by one.
 SMALL = 24
+#: near_copies: words of a shingle, least Jaccard similarity as a fraction, bands of the MinHash signature and hashes in each.
+SHINGLE = 5
+SIMILAR = (4, 5)
+BANDS, IN_BAND = 30, 5
 
 
 def fingerprint(text: str | None, words_in_shingle: int = 4) -> int:
@@ -246,8 +251,137 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(named.join(low, "root").select("fp", "root", "component_id"), "fp").select("doc_id", "fp", "text_hash", "root", "component_id")
 
 
+def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct XXH64 (seed 42) of the text's k-word shingles; of k words or fewer the whole is the one shingle."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.empty(0, dtype=np.uint64)
+    return np.unique(np.fromiter(shingle_hashes(words, min(k, len(words))), dtype=np.uint64))
+
+
+#: Odd multipliers of the MinHash permutations of 64-bit hashes, and an offset for each.
+_MIX = np.random.default_rng(11).integers(0, 1 << 63, size=(2, BANDS * IN_BAND, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def bands(shingles: np.ndarray) -> list[int]:
+    """One key for each band of the MinHash signature; a set without shingles has none."""
+    from xxhash import xxh64_intdigest
+
+    if not len(shingles):
+        return []
+    low = np.full(BANDS * IN_BAND, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for i in range(0, len(shingles), 1024):
+        np.minimum(low, (shingles[i : i + 1024] * _MIX[0] + _MIX[1]).min(axis=1), out=low)
+    return [signed(xxh64_intdigest(row.tobytes(), seed=b)) for b, row in enumerate(low.reshape(BANDS, IN_BAND))]
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the Jaccard similarity of two shingle sets is SIMILAR or more, in whole numbers."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return SIMILAR[1] * both >= SIMILAR[0] * (len(a) + len(b) - both)
+
+
+def _texts(nodes: DataFrame, asked: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+    """(fp, t): a text of each node that `asked` names. Only these texts are moved."""
+    named = asked.select("fp").distinct().join(nodes.select("fp", "text_hash"), "fp")
+    texts = docs.select(F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("t")).join(named, "text_hash")
+    return texts.groupBy("fp").agg(F.first("t").alias("t"))
+
+
+def _similar_pairs(cols: list) -> list[list]:
+    """Of the pairs (u, v, text of u, text of v) those that are similar."""
+    last, one, keep = None, None, []
+    for u, v, tu, tv in zip(*cols):
+        if u != last:
+            last, one = u, shingle_set(tu)
+        if similar(one, shingle_set(tv)):
+            keep.append((u, v))
+    return [[u for u, _ in keep], [v for _, v in keep]]
+
+
+def _set_bytes(cols: list) -> list[list]:
+    return [cols[0], [shingle_set(t).tobytes() for t in cols[1]]]
+
+
+def _joined(roots: tuple[int, ...], sets: list[np.ndarray], merged: _Merged) -> list[tuple[int, int]]:
+    """Pairs of roots that similar sets of one group join, without those joined before; each set against the later ones.
+
+    A set's common shingles with all others are counted at once through the rows that hold each shingle.
+    """
+    size = np.array([len(x) for x in sets])
+    _, col = np.unique(np.concatenate(sets), return_inverse=True)
+    at = np.r_[0, np.cumsum(size)]
+    order = np.argsort(col, kind="stable")
+    holders = np.repeat(np.arange(len(sets)), size)[order]  # rows by shingle
+    ends = np.r_[0, np.cumsum(np.bincount(col))]
+    pairs = []
+    for i in range(len(sets) - 1):
+        both = np.bincount(np.concatenate([holders[ends[c] : ends[c + 1]] for c in col[at[i] : at[i + 1]].tolist()]), minlength=len(sets))
+        near = np.flatnonzero(SIMILAR[1] * both >= SIMILAR[0] * (size + size[i] - both))
+        pairs += merged.fresh([(roots[i], roots[j]) for j in near[near > i].tolist() if roots[i] != roots[j]])
+    return pairs
+
+
+def _group_links():
+    """Rows (key, root, set) sorted by key -> links between the roots of each group; one group is held at a time."""
+    out = arrow_schema("u long, v long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merged = _Merged()
+        rows = (r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in range(3))))
+        for _, group in groupby(rows, itemgetter(0)):
+            _, roots, held = zip(*group)
+            if new := _joined(roots, [np.frombuffer(x, dtype=np.uint64) for x in held], merged):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*new)], schema=out)
+
+    return run
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each row of docs: (doc_id, fp, text_hash, root), components of texts whose word shingles are similar.
+
+    Two texts link at a Jaccard similarity of SIMILAR or more over SHINGLE-word shingles (of lower-case words), checked
+    exactly on the texts. Pairs come from MinHash bands: a pair at exactly that similarity shares none with probability
+    (1 - 0.8^5)^30 = 7e-6, a closer pair less. fp names the shingle set, so equal sets are one node; null and wordless
+    texts are one node. First each band's nodes are held against the smallest of them; groups that this leaves in several
+    components are then compared in place, set by set, and their pairs never become rows.
+    """
+
+    def work(cols):
+        ids, hashes, texts = cols
+        sets = [shingle_set(t) for t in texts]
+        from xxhash import xxh64_intdigest
+
+        return [ids, hashes, [signed(xxh64_intdigest(s.tobytes(), seed=42)) for s in sets], [len(s) for s in sets], [bands(s) for s in sets]]
+
+    slim = docs.select(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col)), F.col(text_col))
+    rows = written(map_texts(slim, "doc_id long, text_hash long, fp long, n long, keys array<long>", work), "sketches")
+    nodes = written(rows.groupBy("fp").agg(F.min("text_hash").alias("text_hash"), F.first("n").alias("n"), F.first("keys").alias("keys")), "sets")
+
+    def near(a: str, b: str):  # sets whose sizes differ by more can't be similar
+        return SIMILAR[1] * F.least(a, b) >= SIMILAR[0] * F.greatest(a, b)
+
+    index = nodes.select("fp", "n", F.explode("keys").alias("key"))
+    shared = index.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("fp", "n")).alias("low")).where("c > 1").select("key", "low")
+    meets = written(index.join(shared, "key").select("key", "fp", "n", F.col("low.fp").alias("low"), F.col("low.n").alias("low_n")), "meets")
+    pairs = written(meets.where((F.col("fp") != F.col("low")) & near("n", "low_n")).select(F.col("low").alias("u"), F.col("fp").alias("v")).distinct(), "pairs")
+    texts = written(_texts(nodes, pairs.select(F.col("u").alias("fp")).union(pairs.select("v")), docs, text_col), "texts")
+    rows_of = pairs.join(texts.toDF("v", "tv"), "v").join(texts.toDF("u", "tu"), "u").select("u", "v", "tu", "tv")
+    edges = written(map_texts(rows_of, "u long, v long", _similar_pairs), "similar")
+    found = written(components(edges), "stars")
+    placed = meets.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("root"))
+    several = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("c"))
+    # A group of two has no pair but the one checked above.
+    rest = written(placed.join(several.where("a < b AND c > 2").select("key"), "key"), "open")
+    sets = map_texts(_texts(nodes, rest, docs, text_col), "fp long, held binary", _set_bytes)
+    rest = rest.join(written(sets, "held"), "fp").select("key", "root", "held").repartition("key").sortWithinPartitions("key")
+    more = written(rest.mapInArrow(_group_links(), "u long, v long"), "joined")
+    found = components(edges.union(more))
+    return rows.select("doc_id", "fp", "text_hash").join(found.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "fp", "text_hash", F.coalesce("root", "fp").alias("root"))
+
+
 def one_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each component of near_duplicates(docs): the smallest doc_id (nulls last), then text hash.
+    """docs with one row of each component of near_duplicates(docs) or near_copies(docs): the smallest doc_id (nulls last), then text hash.
 
     Rows repeated in id and text count as one. Columns come back as they were, whatever their names.
     """

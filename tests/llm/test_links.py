@@ -287,3 +287,37 @@ def test_pipeline(spark, tmp_path):
     assert [i for i in seen[2] if i < 1000] == [i for i in good if i % 6 != 2] and not any(1000 <= i < 2000 for i in seen[2]) and sum(i >= 2000 for i in seen[2]) == 1
     assert seen[3] == seen[4] and set(seen[3]) <= set(seen[2]) and d.where("NOT decodes").count() == 0
     assert pipeline.run(spark, str(tmp_path)).count() == d.count()
+
+
+def test_pipeline_near_copies(spark):
+    """Near copies at a 5-word Jaccard of 0.8 or more leave one document, wherever their SimHash bits lie; others stay."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(8)
+    words = ["".join(rng.choice("lmnrst") + rng.choice("aeiou") for _ in range(3)) for _ in range(900)]
+    docs = []
+    for i in range(40):
+        own = [rng.choice(words) for _ in range(rng.choice((3, 60, 100, 400)))]
+        docs.append((100 * i, " ".join(own)))
+        for k in range(1, 6):
+            near = list(own)
+            for _ in range(max(1, len(own) * k // 200)):
+                near[rng.randrange(len(near))] = rng.choice(words)
+            docs.append((100 * i + k, " ".join(near).upper() if k == 3 else " ".join(near)))
+    docs += [(9000, None), (9001, ""), (9002, " \n")]
+
+    def shingles(text):
+        w = (text or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets, up = {i: shingles(t) for i, t in docs}, {i: i for i, _ in docs}
+    apart = 0
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if i < j and (a == b or 5 * len(a & b) >= 4 * len(a | b)):
+                low, high = sorted((up[i], up[j]))
+                up = {x: low if r == high else r for x, r in up.items()}
+                apart += (simhash.fingerprint(dict(docs)[i]) ^ simhash.fingerprint(dict(docs)[j])).bit_count() > simhash.MOST
+    d = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(r["doc_id"] for r in pipeline.near_duplicate_stage(spark, d, "").collect())
+    assert kept == sorted(set(up.values())) and apart > 20 and len(set(up.values())) < len(docs) - 50
+    assert pipeline.near_duplicate_stage(spark, d.limit(0), "").count() == 0

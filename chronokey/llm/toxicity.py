@@ -31,8 +31,8 @@ SAMPLE = 12_000
 TERMS = 96
 #: Longest entry; a longer word only has its beginning looked at, by stems.
 LONGEST = 24
-#: Least likelihood ratio (2 ln) of an entry, alone and against the best entry's, and its least log odds.
-LEAST_RATIO, LEAST_SHARE, LEAST_ODDS = 17.5, 0.05, 3.0
+#: Least likelihood ratio (2 ln) of an entry and its least log odds.
+LEAST_RATIO, LEAST_ODDS = 17.5, 3.0
 WINDOW = 6
 KEPT = 200_000
 QUOTES = "\"'“”„‟«»‹›‘’`"
@@ -237,8 +237,6 @@ def lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, float]:
     kept: dict[str, tuple[float, int]] = {}
     for r in top:
         chars = r["term"].rstrip("*")
-        if r["ratio"] < LEAST_SHARE * top[0]["ratio"]:
-            break
         covered = any(chars[:k] + "*" in kept for k in range(4, len(chars) + 1))
         stands_for = sum(bad for t, (_, bad) in kept.items() if t.startswith(chars)) if r["term"].endswith("*") else 0
         if not covered and stands_for < 0.9 * r["bad"]:

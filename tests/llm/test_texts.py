@@ -212,3 +212,10 @@ def test_ordinal_gradient():
             moved = m.thresholds.copy()
             moved[k] += e
             assert likelihood(moved) < base + 1e-3
+
+
+def test_rare_certain_term(spark):
+    """A term that is certain on its own is an entry, however much commoner another one is."""
+    rows = [(f"alpha{i} grobnik beta", 1) for i in range(600)] + [(f"gamma{i} vosht delta", 1) for i in range(12)] + [(f"plain{i} text here", 0) for i in range(700)]
+    found = toxicity.lexicon(spark.createDataFrame(rows, "t string, toxic int"))
+    assert "grobnik" in found and "vosht" in found

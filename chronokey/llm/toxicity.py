@@ -288,7 +288,7 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, label_col: str = "tox
     rows = written(rows.select("t", "toxic"), "labelled")
     entries = lexicon(rows)
     bare = ToxicModel(entries)
-    bare.plain = frozenset(r["word"] for r in _near(rows.where("toxic = 0"), bare).limit(100 * TERMS).collect())
+    bare.plain = frozenset(r["word"] for r in _near(rows.where("toxic = 0"), bare).collect())  # bounded by the sample
     shared = docs.sparkSession.sparkContext.broadcast(bare)
 
     def work(cols):

@@ -219,3 +219,19 @@ def test_rare_certain_term(spark):
     rows = [(f"alpha{i} grobnik beta", 1) for i in range(600)] + [(f"gamma{i} vosht delta", 1) for i in range(12)] + [(f"plain{i} text here", 0) for i in range(700)]
     found = toxicity.lexicon(spark.createDataFrame(rows, "t string, toxic int"))
     assert "grobnik" in found and "vosht" in found
+
+
+def test_all_plain_words(spark):
+    """Every clean word near an entry is kept from counting as its misspelling, however many there are."""
+    import itertools
+
+    term, near = "vilegobxyz", []
+    for (i, j), (a, b) in itertools.product(itertools.combinations(range(7), 2), itertools.product("abcdfhjkmnpqrstuwyzäöü", repeat=2)):
+        if a != term[i] and b != term[j]:
+            near.append("".join(a if k == i else b if k == j else c for k, c in enumerate(term)))
+    near = sorted(set(near))
+    rows = [(i, f"one{i} {term} two", 1) for i in range(60)] + [(1000 + i, " ".join(near[i::60]), 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), F.lit(True))
+    assert term in model.entries and len(near) > 100 * toxicity.TERMS
+    assert set(near) <= model.plain

@@ -79,34 +79,105 @@ def levels(sizes, weights=(5, 2, 1), share=1.5, most=2):
     return target
 
 
-def test_mix(spark):
-    d = docs(spark)
-    rows = mixing.mix(d).collect()
-    assert mixing.mix(d).columns == ["doc_id", "text", "source", "u", "size", "source_size", "target", "copies", "taken"]
+def held(rows):
+    """The contract on collected rows of mix(); targets by `levels`."""
     sizes = Counter()
     for r in rows:
-        assert r["size"] == len((r["text"] or "").split()) and r["taken"] == r["copies"] * r["size"] and 0 <= r["copies"] <= 2
+        assert r["taken"] == r["copies"] * r["size"] and 0 <= r["copies"] <= 2
         sizes[r["source"]] += r["size"]
     want = levels(dict(sizes))
     for s in sizes:
         own = [r for r in rows if r["source"] == s]
         assert {r["source_size"] for r in own} == {sizes[s]} and own[0]["target"] == pytest.approx(want[s])
-        left_out = [r["size"] for r in own if r["size"] and r["copies"] == min(x["copies"] for x in own if x["size"])]
+        left_out = [r["size"] for r in own if r["size"] and r["copies"] < 2 and r["copies"] == min(x["copies"] for x in own if x["size"])]
         short = want[s] - sum(r["taken"] for r in own)
-        assert -0.5 <= short and (short < min(left_out, default=1) + 0.5 or s == "s2")
+        assert -0.5 <= short < min(left_out, default=1) + 0.5
+
+
+def test_mix(spark):
+    d = docs(spark)
+    rows = mixing.mix(d).collect()
+    assert mixing.mix(d).columns == ["doc_id", "source", "size", "source_size", "target", "copies", "taken"]
+    assert Counter((r["doc_id"], r["source"], r["size"]) for r in rows) == Counter((r["doc_id"], r["source"], len((r["text"] or "").split())) for r in d.collect())
+    held(rows)
     assert sorted(map(str, rows)) == sorted(map(str, mixing.mix(d.repartition(7)).collect()))
     mixed = mixing.mixture(d)
     assert mixed.columns == d.columns and mixed.count() == sum(r["copies"] for r in rows)
+    assert Counter(r["doc_id"] for r in mixed.collect()) == sum((Counter({r["doc_id"]: r["copies"]}) for r in rows), Counter())
+
 
+@pytest.mark.parametrize("ident", [1, 2, 3])
+def test_mix_repeated_rows(spark, ident):
+    """A row that makes up most of its source is taken in part; the target is met all the same."""
+    rows = [(ident, "ten words " * 5, "a")] * 700 + [(10 + i, "w " * (5 + i % 23), "a") for i in range(300)] + [(1000 + i, "w " * 40, f"b{i % 2}") for i in range(500)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = mixing.mix(d).collect()
+    held(got)
+    mixed = mixing.mixture(d).collect()
+    assert Counter(r["doc_id"] for r in mixed) == sum((Counter({r["doc_id"]: r["copies"]}) for r in got), Counter())
+    parts = {r["copies"] for r in got if r["doc_id"] == ident}
+    assert len(parts) <= 2
 
-def test_rank_order(spark):
-    """Within a source the first round takes the smallest Pareto ranks: random odds over inclusion odds."""
-    d = spark.createDataFrame([(i, "w " * 10, f"s{i % 2}") for i in range(400)], "doc_id long, text string, source string")
-    rows = mixing.mix(d).withColumn("u", mixing.draw(7, F.col("doc_id"), F.col("text"))).collect()
-    for s in ("s0", "s1"):
+
+def by_hand(rows, seed=7, tilt=mixing.TILT):
+    """copies by (doc_id) in one process: odds, order and filling as the docstring says."""
+    import hashlib
+
+    def u(i, t):
+        return (int(hashlib.md5(f"{seed}:{'' if i is None else i}:{hashlib.md5((t or '').encode()).hexdigest()}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len((t or "").split())
+    want, out = levels(dict(sizes)), Counter()
+    for s, total in sizes.items():
+        own = [(i, len((t or "").split()), u(i, t)) for i, t, x in rows if x == s]
+        goal = min(math.floor(want[s] + 0.5), 2 * total)
+        whole, left = divmod(goal, total) if total else (0, 0)
+        for i, _, _ in own:
+            out[s, i] += whole
+        if not left:
+            continue
+        mean = max(1, total // sum(z > 0 for _, z, _ in own))
+        f = {z: z * 1000 // (z + mean) for _, z, _ in own}
+        mu, p = sum(z * f[z] for _, z, _ in own) / total, left / total
+        odds = {z: p + tilt * min(p, 1 - p) * (f[z] - mu) / 1000 for z in f}
+        assert sum(z * odds[z] for _, z, _ in own) == pytest.approx(left)
+        rest = sorted((v / (1 - v) / (odds[z] / (1 - odds[z])), v, z, i) for i, z, v in own if z)
+        while rest and rest[0][2] <= left:
+            left -= rest[0][2]
+            out[s, rest.pop(0)[3]] += 1
+        for _, v, z, i in sorted(rest, key=lambda r: (-r[2], r[1])):
+            if z <= left:
+                left -= z
+                out[s, i] += 1
+    return out
+
+
+def test_mix_brute_force(spark):
+    rows = [(i, "w " * (1 + i * 7919 % 61), f"s{i % 4}") for i in range(600)] + [(900 + i % 5, "x " * 17, "s1") for i in range(40)] + [(None, None, "s1")]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    seen = Counter()
+    for r in got:
+        seen[r["source"], r["doc_id"]] += r["copies"]
+    want = by_hand(rows)
+    assert +seen == +want
+
+
+def test_odds_decide(spark):
+    """Inclusion odds differ inside a source: the order of ranks isn't that of the draws, and longer documents come more often."""
+    d = spark.createDataFrame([(i, "w " * (5 if i % 2 else 50), f"s{i % 3}") for i in range(3000)], "doc_id long, text string, source string")
+    rows = mixing.mix(d).withColumn("u", mixing.draw(7, F.col("doc_id"), F.repeat(F.lit("w "), F.col("size").cast("int")))).collect()
+    for s in ("s0", "s1", "s2"):
         own = sorted((r for r in rows if r["source"] == s), key=lambda r: r["u"])
         copies = [r["copies"] for r in own]
-        assert copies == sorted(copies, reverse=True)
+        if len(set(copies)) > 1:
+            assert copies != sorted(copies, reverse=True)
+            for z in (5, 50):  # among equal sizes the smaller draw comes first
+                same = [r["copies"] for r in own if r["size"] == z]
+                assert same == sorted(same, reverse=True)
+            mean = {z: sum(r["copies"] for r in own if r["size"] == z) / sum(r["size"] == z for r in own) for z in (5, 50)}
+            assert mean[50] > mean[5]
 
 
 def test_sql(spark, tmp_path):

@@ -4,12 +4,13 @@ The automaton lists all vocabulary entries that end at each place, longest first
 keeps the best score and the number of tokens on that path, never the path. Tie rules are those of the `tokenizers`
 library's Unigram model: a later start replaces an earlier one only with a strictly higher score (so the longest entry
 wins a tie), and a character that no single-character entry covers is an unknown of the least score minus 10, which
-byte fallback turns into one token for each UTF-8 byte.
+byte fallback turns into one token for each UTF-8 byte; without byte entries a run of unknowns is one token.
 
-The vocabulary is the pieces of a public model file with their scores. All scores are whole numbers below 2^53 in sum,
-so double sums are exact in any grouping, and a text's count is the sum of its units' counts: no entry has the space
-symbol after another character, hence every best path breaks before each run of spaces. Units are counted once and
-kept in a bounded per-worker table.
+Where all scores are whole numbers below 2^53 in sum, double sums are exact in any grouping; if besides no entry has
+the space symbol after another character, every best path breaks before each run of spaces, and a text's count is the
+sum of its units' counts. Units are then counted once and kept in a bounded per-worker table. Other vocabularies
+(fractional log probabilities, entries across spaces) are counted over the whole text, with the scores summed from its
+start in the library's order.
 """
 
 from __future__ import annotations
@@ -32,27 +33,30 @@ class Unigram:
 
         self.entries = entries
         self.unknown = min(s for _, s in entries) - PENALTY
-        if any(s != int(s) for _, s in entries) or any(SPACE in p.lstrip(SPACE) for p, _ in entries):
-            raise ValueError("scores must be whole numbers and entries without inner spaces")
         self.automaton = ahocorasick.Automaton()
         for text, score in entries:
             self.automaton.add_word(text, (len(text), float(score)))
         self.automaton.make_automaton()
-        self.bytes = all(f"<0x{b:02X}>" in {p for p, _ in entries[:600]} for b in (0, 65, 255))
+        there = {p for p, _ in entries}
+        #: Without all byte entries, a run of unknown characters is one token.
+        self.bytes = all(f"<0x{b:02X}>" in there for b in range(256))
+        #: Whether a text may be counted unit by unit.
+        self.parts = (self.bytes or SPACE in there) and all(s == int(s) for _, s in entries) and not any(SPACE in p.lstrip(SPACE) for p in there)
         self.known: dict[str, int] = {}
 
     def count(self, unit: str) -> int:
-        """Tokens of the best path over one unit."""
+        """Tokens of the best path over one unit, or a whole text."""
         n = len(unit)
         score = [0.0] * (n + 1)
         count = [-1] * (n + 1)
         count[0] = 0
+        odd = bytearray(n + 1) if not self.bytes else None  # places whose path ends in an unknown
         done, single = 0, False  # places up to `done` are final
         for end, (size, s) in self.automaton.iter(unit):
             end += 1
             while done + 1 < end:
                 done += 1
-                self._unknown(unit, done, single, score, count)
+                self._unknown(unit, done, single, score, count, odd)
                 single = False
             start = end - size
             got = score[start] + s
@@ -61,18 +65,23 @@ class Unigram:
             single = single or size == 1
         while done < n:
             done += 1
-            self._unknown(unit, done, single, score, count)
+            self._unknown(unit, done, single, score, count, odd)
             single = False
         return count[n]
 
-    def _unknown(self, unit: str, end: int, single: bool, score: list, count: list) -> None:
+    def _unknown(self, unit: str, end: int, single: bool, score: list, count: list, odd: bytearray | None) -> None:
         """Finish a place: if no entry is its last character alone, the unknown comes last, as the latest start."""
         if not single:
             got = score[end - 1] + self.unknown
             if count[end] < 0 or got > score[end]:
-                score[end], count[end] = got, count[end - 1] + len(unit[end - 1].encode("utf-8", "surrogatepass"))
+                new = len(unit[end - 1].encode("utf-8", "surrogatepass")) if odd is None else 1 - odd[end - 1]
+                score[end], count[end] = got, count[end - 1] + new
+                if odd is not None:
+                    odd[end] = 1
 
     def total(self, text: str | None) -> int:
+        if not self.parts:
+            return self.count("".join(units(text)))
         known, n = self.known, 0
         for u in units(text):
             got = known.get(u)

@@ -3,8 +3,8 @@
 P(grade > g_k | text) = sigmoid(w.x - t_k) with one weight vector shared by all grades and ordered thresholds t_1 < t_2
 < ...; x are shares of hashed word, word-shape and word-ending features. Expected grade and tail probability follow.
 
-The model is fit on at most `SAMPLE` rated rows (by hash of the id), collected as sparse counts, so the driver's work
-is bounded; every text is scored whole, one pass, no shuffle. A word's summed weight is kept in a bounded per-worker
+The model is fit on at most `SAMPLE` rated ids (by hash of the id), one text each, collected as sparse counts of at most
+`WIDTH` buckets, so the driver's work is bounded; every text is scored whole, one pass, no shuffle. A word's summed weight is kept in a bounded per-worker
 table, so scoring costs one look-up for each word.
 """
 
@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import appended, map_texts, table
+from .shared import appended, map_texts, one_text_each, table
 
 SAMPLE = 4_000
 WIDTH = 1 << 16
@@ -30,7 +30,6 @@ ROUNDS = 150
 SCALE = 8.0
 
 
-
 def shape(word: str) -> str:
     """Letters as X, x and digits as 9, runs cut to two: "Onndble###" is "Xxx##"."""
     coded = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word)
@@ -137,10 +136,12 @@ def score_text(sums: _Sums, text: str | None) -> float:
 
 
 def train(docs: DataFrame, ratings: DataFrame, rating_col: str, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> OrdinalModel:
-    """Fit on at most `sample` rated rows; rows without id or rating are no ratings, unknown ids have no text."""
+    """Fit on at most `sample` rated ids; rows without id or rating are no ratings, unknown ids have no text.
+
+    An id rated several times has the highest of its ratings; of an id's several rows one counts, by hash of the text.
+    """
     rated = ratings.where(F.col(id_col).isNotNull() & F.col(rating_col).isNotNull()).select(F.col(id_col).cast("long").alias("r_id"), F.col(rating_col).cast("double").alias("r"))
-    rated = rated.orderBy(F.xxhash64("r_id"), "r").limit(sample)  # bounded by the sample, hence broadcast
-    rows = docs.select(F.col(id_col).cast("long").alias("d_id"), F.col(text_col).alias("t")).join(F.broadcast(rated), F.col("d_id") == F.col("r_id"))
+    rows = one_text_each(docs, rated.groupBy("r_id").agg(F.max("r").alias("r")), "r_id", id_col, text_col, sample)
 
     def work(cols):
         found = [shares(t) for t in cols[0]]

@@ -70,6 +70,16 @@ def appended(df: DataFrame, inputs: list[str], schema: str, work: Callable[[list
     return plain_names(df).mapInArrow(run, full)
 
 
+def one_text_each(docs: DataFrame, rated: DataFrame, key: str, id_col: str, text_col: str, sample: int) -> DataFrame:
+    """rated (one row for each `key`) with t, a text of that id: at most `sample` rows, the first by hash of the id.
+
+    An id that several rows of docs hold gives one row, the text of the smallest hash; an id without a row gives none.
+    """
+    rated = rated.orderBy(F.xxhash64(key), key).limit(sample)  # bounded by the sample, hence broadcast
+    rows = docs.select(F.col(id_col).cast("long").alias("d_id"), F.col(text_col).alias("t")).join(F.broadcast(rated), F.col("d_id") == F.col(key))
+    return rows.groupBy(*rated.columns).agg(F.min_by("t", F.xxhash64("t")).alias("t"))
+
+
 _tables: dict[tuple, object] = {}
 
 

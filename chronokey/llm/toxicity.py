@@ -1,14 +1,15 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, and context windows that part quotation from abuse.
 
 Lexicon: whole words and word stems whose document frequency in toxic rows, against clean rows, has a likelihood ratio
-no chance would give; learnt from at most `SAMPLE` labelled rows (by hash of the id). Matching: a word's Levenshtein
+no chance would give; learnt from at most `SAMPLE` labelled ids (by hash of the id), one text each. All that pass are
+entries, whatever their number and length. Matching: a word's Levenshtein
 automaton (bit-parallel: one register of reachable places for each number of edits) walks the trie of all entries
 together, so misspelt terms match at one edit, or two from ten characters on; a stem matches any word that begins
 within the edits. Pieces of the entries sieve out words no entry can match (of e + 1 pieces one is whole, at its place
 or e beside it). A word that clean labelled rows use isn't a misspelling. Context: the words within `WINDOW` of a match say whether it stands in quotation marks or by a word of
 reporting, or by one of address. Logistic weights over these sums turn them into a score.
 
-Scale: the fit is bounded by the sample, lexicon and weights are broadcast (at most `TERMS` entries), texts are scored
+Scale: the fit is bounded by the sample, and so are the lexicon and the weights that are broadcast; texts are scored
 whole in one pass without a shuffle, and matches are kept by word in a bounded per-worker table.
 """
 
@@ -25,15 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import appended, arrow_schema, map_texts, slices, table, written
+from .shared import appended, arrow_schema, map_texts, one_text_each, slices, table, written
 
 SAMPLE = 12_000
-TERMS = 96
-#: Longest entry; a longer word only has its beginning looked at, by stems.
-LONGEST = 24
 #: Least likelihood ratio (2 ln) of an entry and its least log odds.
 LEAST_RATIO, LEAST_ODDS = 17.5, 3.0
 WINDOW = 6
+#: Longest stem.
+STEM = 8
 KEPT = 200_000
 QUOTES = "\"'“”„‟«»‹›‘’`"
 EDGES = QUOTES + ".,;:!?()[]{}<>|*#$%&@~^_-+=/\\…"
@@ -67,11 +67,12 @@ class Trie:
                 node = self.next[node][c]
             self.entry[node] = text
             self.allowed[node] = max(self.allowed[node], most)
+        self.longest = max(map(len, entries), default=0) + 2  # no edits bridge more
         self.sieve = Sieve(entries)
 
     def find(self, word: str) -> tuple[str, int] | None:
         """The entry with the fewest edits to word (or to a beginning of it, for a stem), then the heaviest."""
-        word = word[: LONGEST + 4]
+        word = word[: self.longest + 1]
         if not self.sieve.may_match(word):
             return None
         n, masks = len(word), {}
@@ -201,14 +202,14 @@ def candidates(text: str | None) -> set[str]:
     """Entries a text could support: its words, and their beginnings of four characters or more as stems."""
     found = set()
     for w in {x.lower().strip(EDGES) for x in (text or "").split()}:
-        if 3 <= len(w) <= LONGEST:
+        if len(w) >= 3:
             found.add(w)
-            found.update(w[:k] + "*" for k in range(4, min(len(w), 9)))
+            found.update(w[:k] + "*" for k in range(4, min(len(w), STEM + 1)))
     return found
 
 
-def lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, float]:
-    """rows (t, toxic) -> entries with log odds, the strongest `terms`, none of which begins with a stem among them."""
+def lexicon(rows: DataFrame) -> dict[str, float]:
+    """rows (t, toxic) -> entries with log odds, none of which begins with a stem among them."""
     out = arrow_schema("term string, bad long, good long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,19 +233,35 @@ def lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, float]:
     ratio = 2 * seen * (part * F.log(part / p) + F.when(part < 1, (1 - part) * F.log((1 - part) / (1 - p))).otherwise(0.0))
     odds = F.log((F.col("bad") + 0.5) / (b + 1)) - F.log((F.col("good") + 0.5) / (g + 1))
     top = counts.where("bad > 1").withColumn("ratio", ratio).withColumn("odds", odds).where((F.col("ratio") >= LEAST_RATIO) & (F.col("odds") >= LEAST_ODDS))
-    # Ties: the longest, a whole word before a stem. Bounded, as entries are.
-    top = top.orderBy(F.desc("ratio"), F.desc(F.length("term") - F.when(F.col("term").endswith("*"), 1.5).otherwise(0.0)), "term").limit(64 * terms).collect()
+    # Ties: the longest, a whole word before a stem. Only words of the sample's toxic rows are collected.
+    top = top.orderBy(F.desc("ratio"), F.desc(F.length("term") - F.when(F.col("term").endswith("*"), 1.5).otherwise(0.0)), "term").select("term", "odds", "bad").collect()
+    return _uncovered([(r["term"], float(r["odds"]), r["bad"]) for r in top])
+
+
+def _uncovered(top: list[tuple[str, float, int]]) -> dict[str, float]:
+    """Of (term, odds, bad), strongest first, those that say something their betters don't.
+
+    What begins with a stem that is kept goes; so does a stem nine tenths of whose rows its kept extensions stand for,
+    and extensions of a stem that adds to them.
+    """
     kept: dict[str, tuple[float, int]] = {}
-    for r in top:
-        chars = r["term"].rstrip("*")
-        covered = any(chars[:k] + "*" in kept for k in range(4, len(chars) + 1))
-        stands_for = sum(bad for t, (_, bad) in kept.items() if t.startswith(chars)) if r["term"].endswith("*") else 0
-        if not covered and stands_for < 0.9 * r["bad"]:
-            if stands_for:  # a stem that adds to its extensions replaces them
-                kept = {t: v for t, v in kept.items() if not t.startswith(chars)}
-            kept[r["term"]] = (float(r["odds"]), r["bad"])
-        if len(kept) == terms:
-            break
+    below: dict[str, set[str]] = {}  # beginning -> kept terms that have it
+    for term, odds, bad in top:
+        chars = term.rstrip("*")
+        begins = [chars[:k] for k in range(4, min(len(chars), STEM) + 1)]
+        if any(b + "*" in kept for b in begins):
+            continue
+        longer = below.get(chars, set()) if term.endswith("*") else set()
+        stands_for = sum(kept[t][1] for t in longer)
+        if stands_for >= 0.9 * bad:
+            continue
+        for t in list(longer):
+            del kept[t]
+            for b in (t.rstrip("*")[:k] for k in range(4, STEM + 1)):
+                below[b].discard(t)
+        kept[term] = (odds, bad)
+        for b in begins:
+            below.setdefault(b, set()).add(term)
     return {t: odds for t, (odds, _) in kept.items()}
 
 
@@ -278,13 +295,12 @@ def _near(rows: DataFrame, model: ToxicModel) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, use: Column, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> ToxicModel:
-    """Learn from at most `sample` labels (rows where `use` holds; by hash of the id). Null ids and labels are no labels.
+    """Learn from at most `sample` labelled ids (rows where `use` holds; by hash of the id). Null ids and labels are no labels.
 
-    Without a label of either kind there is no lexicon and each score is the share of toxic labels, or 0.
+    An id with labels of both kinds is toxic; of an id's several rows one counts, by hash of the text. Without a label of either kind there is no lexicon and each score is the share of toxic labels, or 0.
     """
     rated = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & use).select(F.col(id_col).cast("long").alias("l_id"), F.col(label_col).cast("int").alias("toxic"))
-    rated = rated.orderBy(F.xxhash64("l_id"), "toxic").limit(sample)  # bounded by the sample, hence broadcast
-    rows = docs.select(F.col(id_col).cast("long").alias("d_id"), F.col(text_col).alias("t")).join(F.broadcast(rated), F.col("d_id") == F.col("l_id"))
+    rows = one_text_each(docs, rated.groupBy("l_id").agg(F.max("toxic").alias("toxic")), "l_id", id_col, text_col, sample)
     rows = written(rows.select("t", "toxic"), "labelled")
     entries = lexicon(rows)
     bare = ToxicModel(entries)

@@ -73,25 +73,34 @@ def test_counts_equal_the_library(spark):
     assert counts.count_tokens(d.limit(0), PATH).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["ties", "fractions", "spaces", "bytes"])
+def test_counts_any_vocabulary(kind):
+    """Given vocabularies, ties, fractional scores and entries across spaces: as many tokens as the library makes."""
+    from tokenizers import Tokenizer, models
+
+    rng = random.Random(kind)
+    letters = "abc▁" if kind == "spaces" else "abc"
+    entries = {"<unk>": 0.0, "▁": -3.0, "a": -2.0, "b": -2.0}
+    for _ in range(40):
+        piece = rng.choice(["", "▁"]) + "".join(rng.choice(letters) for _ in range(rng.randint(2, 5)))
+        entries[piece] = -float(rng.randint(1, 4)) * len(piece) if kind in ("ties", "bytes") else -rng.random() * 3 * len(piece)
+    if kind == "bytes":
+        entries |= {f"<0x{b:02X}>": -50.0 for b in range(256)}
+    entries = list(entries.items())
+    m, lib = counts.Unigram(entries), Tokenizer(models.Unigram(entries, unk_id=0, byte_fallback=kind == "bytes"))
+    assert m.parts == (kind in ("ties", "bytes"))
+    several = 0
+    for k in range(400):
+        text = "".join(rng.choice("aaabbc  é") for _ in range(rng.randint(0, 12 if k else 5000)))
+        shown = "▁" + text.replace(" ", "▁") if text else ""
+        assert m.total(text) == len(lib.encode(shown).ids), text
+        several += m.total(text) > 2
+    assert several > 100
+
+
 def test_counts_ties():
-    """Equal scores: the longest entry stands; brute force over all ways gives the same best score."""
-    from functools import cache
-
-    entries = [("<unk>", 0.0), ("▁", -1.0), ("a", -2.0), ("b", -2.0), ("aa", -4.0), ("ab", -4.0), ("aab", -5.0), ("ba", -3.0), ("<0x63>", -9.0)]
-    m = counts.Unigram(entries)
-    score = dict(entries)
-
-    @cache
-    def best(s):
-        if not s:
-            return 0.0
-        ways = [best(s[:-k]) + score[s[-k:]] for k in range(1, len(s) + 1) if s[-k:] in score]
-        return max(ways + ([best(s[:-1]) + m.unknown] if s[-1] not in score else []))
-
-    rng = random.Random(1)
-    for _ in range(100):
-        s = "▁" + "".join(rng.choice("abc") for _ in range(rng.randint(0, 9)))
-        assert best(s) <= 0 and m.count(s) >= 1
+    """Equal scores: the longest entry stands."""
+    m = counts.Unigram([("<unk>", 0.0), ("▁", -1.0), ("a", -2.0), ("b", -2.0), ("aa", -4.0), ("ab", -4.0), ("aab", -5.0), ("ba", -3.0), ("<0x63>", -9.0)])
     assert m.count("▁aa") == 2 and m.count("▁ab") == 2 and m.count("▁abab") == 4 and m.count("▁c") == 2
 
 
@@ -233,5 +242,72 @@ def test_all_plain_words(spark):
     rows = [(i, f"one{i} {term} two", 1) for i in range(60)] + [(1000 + i, " ".join(near[i::60]), 0) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     model = toxicity.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), F.lit(True))
-    assert term in model.entries and len(near) > 100 * toxicity.TERMS
+    assert term in model.entries and len(near) > 9_600
     assert set(near) <= model.plain
+
+
+def by_hand(model, text):
+    """A text's score with every word held against every entry by plain edit distance."""
+    words, sums, hits = (text or "").split(), {f: 0.0 for f in toxicity.FEATURES}, 0
+    for i, w in enumerate(words):
+        bare = w.lower().strip(toxicity.EDGES)
+        got = brute(model.entries, bare) if len(bare) >= 3 else None
+        if got is None or got[1] and bare in model.plain:
+            continue
+        hits += 1
+        weight = model.entries[got[0]] / (1 + got[1])
+        near = [x.lower().strip(toxicity.EDGES) for j, x in enumerate(words) if j != i and abs(j - i) <= toxicity.WINDOW]
+        opened = any(x[0] in toxicity.QUOTES for x in words[max(0, i - 6) : i]) and any(x.rstrip(".,;:!?)")[-1:] in toxicity.QUOTES and x.rstrip(".,;:!?)") for x in words[i + 1 : i + 7])
+        own = w[0] in toxicity.QUOTES or (w.rstrip(".,;:!?)")[-1:] or " ") in toxicity.QUOTES
+        quoted = opened or own or any(x in toxicity.REPORTING for x in near)
+        sums["quoted" if quoted else "stem" if got[0].endswith("*") else "exact"] += weight
+        sums["addressed"] += weight * any(x in toxicity.ADDRESS for x in near)
+    x = [1.0, *(np.log1p(sums[f]) for f in toxicity.FEATURES[1:-1]), np.log1p(100.0 * hits / max(1, len(words)))]
+    return 1 / (1 + np.exp(-np.clip(np.dot(x, model.weights), -30, 30)))
+
+
+def test_toxicity_brute_force(spark):
+    rows, labels, words = labelled(spark)
+    rng = random.Random(12)
+    odd = ['he said "vilegob" to you', "you horidact, wretchlyy", "« vilegobs » dit elle", "VILEGOB! vilegob? (wretchly)", "", None, "vi legob", "x" * 5000 + " vilegob"]
+    rows = [(i, t + " " + " ".join(rng.choice(["you", "said", '"', "vilegop", "horidact", "wretch"]) for _ in range(3)), s) for i, t, s in rows] + [(2000 + k, t, None) for k, t in enumerate(odd)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    m = toxicity.train(d, spark.createDataFrame(labels, "doc_id long, toxic int, quality int"), F.col("doc_id") % 3 > 0)
+    assert len(m.entries) > 2
+    for r in toxicity.score(d, m).collect():
+        assert r["toxicity"] == pytest.approx(by_hand(m, r["text"]), abs=1e-12)
+
+
+def test_lexicon_has_no_cap(spark):
+    """More entries than any fixed number, and long ones, are all kept."""
+    rng = random.Random(5)
+    bad = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9 if k else 40)) for k in range(300)]
+    rows = [(f"n{i} {bad[i % 300]} m{i}", 1) for i in range(3000)] + [(f"p{i} q{i} plain", 0) for i in range(9000)]
+    found = toxicity.lexicon(spark.createDataFrame(rows, "t string, toxic int"))
+    assert all(any(w == e or e.endswith("*") and w.startswith(e[:-1]) for e in found) for w in bad[1:]) and len(found) >= 290
+    assert toxicity.Trie({bad[0]: 1.0}).find(bad[0]) == (bad[0], 0) and toxicity.Trie({bad[0]: 1.0}).find(bad[0] + "xyz") is None
+
+
+def test_one_text_of_an_id(spark):
+    """20,000 rows of one id give one row to learn from; so do several labels of it."""
+    from chronokey.llm.shared import one_text_each
+
+    d = spark.range(20_000).selectExpr("7L AS doc_id", "concat('text ', id) AS text").unionByName(spark.createDataFrame([(8, "b")], "doc_id long, text string"))
+    rated = spark.createDataFrame([(7, 1.0), (8, 2.0), (9, 3.0)], "r_id long, r double")
+    got = one_text_each(d, rated, "r_id", "doc_id", "text", 10).collect()
+    assert sorted((r["r_id"], r["r"]) for r in got) == [(7, 1.0), (8, 2.0)]
+    assert {r["t"] for r in got} == {r["t"] for r in one_text_each(d.repartition(9), rated, "r_id", "doc_id", "text", 10).collect()}
+    labels = spark.createDataFrame([(7, 0), (7, 1), (8, 0)], "doc_id long, quality int")
+    assert quality.train(d, labels, "quality").grades == [0.0, 1.0] and one_text_each(d, rated, "r_id", "doc_id", "text", 1).count() == 1
+
+
+def test_quality_brute_force(spark):
+    """Scores equal the linear predictor over a text's whole vector of shares."""
+    rows, labels, _ = labelled(spark)
+    d = spark.createDataFrame([*rows, (1, "Ab9### |x| x x x é", None), (2, "", None), (3, None, None)], "doc_id long, text string, source string")
+    m = quality.train(d, spark.createDataFrame(labels, "doc_id long, toxic int, quality int"), "quality")
+    for r in quality.score(d, m).collect():
+        idx, val = quality.shares(r["text"])
+        s = quality.SCALE * float(m.weights[idx].astype(float) @ val)
+        tails = 1 / (1 + np.exp(-(s - m.thresholds)))
+        assert r["p_top"] == pytest.approx(tails[-1], abs=1e-6) and r["expected_grade"] == pytest.approx(m.grades[0] + np.diff(m.grades) @ tails, abs=1e-6)

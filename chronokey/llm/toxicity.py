@@ -32,8 +32,9 @@ SAMPLE = 12_000
 #: Least likelihood ratio (2 ln) of an entry and its least log odds.
 LEAST_RATIO, LEAST_ODDS = 17.5, 3.0
 WINDOW = 6
-#: Longest stem.
+#: Longest stem; kept terms that mark a row fully.
 STEM = 8
+ENOUGH = 5
 KEPT = 200_000
 QUOTES = "\"'“”„‟«»‹›‘’`"
 EDGES = QUOTES + ".,;:!?()[]{}<>|*#$%&@~^_-+=/\\…"
@@ -234,32 +235,56 @@ def lexicon(rows: DataFrame) -> dict[str, float]:
     odds = F.log((F.col("bad") + 0.5) / (b + 1)) - F.log((F.col("good") + 0.5) / (g + 1))
     top = counts.where("bad > 1").withColumn("ratio", ratio).withColumn("odds", odds).where((F.col("ratio") >= LEAST_RATIO) & (F.col("odds") >= LEAST_ODDS))
     # Ties: the longest, a whole word before a stem. Only words of the sample's toxic rows are collected.
-    top = top.orderBy(F.desc("ratio"), F.desc(F.length("term") - F.when(F.col("term").endswith("*"), 1.5).otherwise(0.0)), "term").select("term", "odds", "bad").collect()
-    return _uncovered([(r["term"], float(r["odds"]), r["bad"]) for r in top])
+    top = top.orderBy(F.desc("ratio"), F.desc(F.length("term") - F.when(F.col("term").endswith("*"), 1.5).otherwise(0.0)), "term").select("term", "odds", "bad", "good").collect()
+    terms = rows.sparkSession.sparkContext.broadcast(frozenset(r["term"] for r in top))
+
+    def work(cols):
+        return [[sorted(candidates(t) & terms.value) for t in cols[0]]]
+
+    held = [r["held"] for r in map_texts(rows.where("toxic = 1").select("t"), "held array<string>", work).where("size(held) > 0").collect()]
+    return _uncovered([(r["term"], float(r["odds"]), r["bad"], r["good"]) for r in top], held, p)
+
+
+def likelihood_ratio(bad: int, good: int, p: float) -> float:
+    """2 ln of the likelihood ratio of bad toxic rows among bad + good, against the share p."""
+    n, q = bad + good, bad / (bad + good)
+    return 2 * n * ((q * math.log(q / p) if q else 0.0) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0.0))
 
 
-def _uncovered(top: list[tuple[str, float, int]]) -> dict[str, float]:
-    """Of (term, odds, bad), strongest first, those that say something their betters don't.
+def _uncovered(top: list[tuple[str, float, int, int]], held: list[list[str]], p: float) -> dict[str, float]:
+    """Of (term, odds, bad, good), strongest first, those that say something their betters don't. held: the terms of each toxic row.
 
-    What begins with a stem that is kept goes; so does a stem nine tenths of whose rows its kept extensions stand for,
-    and extensions of a stem that adds to them.
+    A row that holds `ENOUGH` kept terms is marked by them and no witness for a further one; a term needs the least
+    ratio from the other rows alone. So the words of one much copied or shared passage don't all become entries. What
+    begins with a stem that is kept goes; so does a stem nine tenths of whose rows its kept extensions stand for, and
+    extensions of a stem that adds to them.
     """
+    where: dict[str, list[int]] = {}
+    for i, terms in enumerate(held):
+        for t in terms:
+            where.setdefault(t, []).append(i)
+    marks = [0] * len(held)
     kept: dict[str, tuple[float, int]] = {}
     below: dict[str, set[str]] = {}  # beginning -> kept terms that have it
-    for term, odds, bad in top:
+    for term, odds, bad, good in top:
         chars = term.rstrip("*")
         begins = [chars[:k] for k in range(4, min(len(chars), STEM) + 1)]
-        if any(b + "*" in kept for b in begins):
+        rows = where.get(term, [])
+        left = sum(marks[i] < ENOUGH for i in rows)
+        if any(b + "*" in kept for b in begins) or not left or likelihood_ratio(left, good, p) < LEAST_RATIO:
             continue
         longer = below.get(chars, set()) if term.endswith("*") else set()
-        stands_for = sum(kept[t][1] for t in longer)
-        if stands_for >= 0.9 * bad:
+        if sum(kept[t][1] for t in longer) >= 0.9 * bad:
             continue
         for t in list(longer):
             del kept[t]
-            for b in (t.rstrip("*")[:k] for k in range(4, STEM + 1)):
+            for i in where[t]:
+                marks[i] -= 1
+            for b in (t.rstrip("*")[:k] for k in range(4, min(len(t.rstrip("*")), STEM) + 1)):
                 below[b].discard(t)
         kept[term] = (odds, bad)
+        for i in rows:
+            marks[i] += 1
         for b in begins:
             below.setdefault(b, set()).add(term)
     return {t: odds for t, (odds, _) in kept.items()}

@@ -311,3 +311,11 @@ def test_quality_brute_force(spark):
         s = quality.SCALE * float(m.weights[idx].astype(float) @ val)
         tails = 1 / (1 + np.exp(-(s - m.thresholds)))
         assert r["p_top"] == pytest.approx(tails[-1], abs=1e-6) and r["expected_grade"] == pytest.approx(m.grades[0] + np.diff(m.grades) @ tails, abs=1e-6)
+
+
+def test_shared_passage_is_one_witness(spark):
+    """Words of a passage that many toxic rows share are entries only as far as they are needed to mark those rows."""
+    passage = " ".join(f"passage{k}" for k in range(60))
+    rows = [(f"own{i} {passage} end{i}", 1) for i in range(40)] + [(f"n{i} vosht m{i}", 1) for i in range(30)] + [(f"p{i} q{i} plain", 0) for i in range(2000)]
+    found = toxicity.lexicon(spark.createDataFrame(rows, "t string, toxic int"))
+    assert "vosht" in found and 1 <= sum("passage".startswith(e.rstrip("*")[:7]) for e in found) <= toxicity.ENOUGH

@@ -16,6 +16,7 @@ import html
 import json
 import re
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,24 +24,100 @@ from pyspark.sql import functions as F
 from .shared import map_texts
 
 SCHEMA = "source_id string, warc_type string, record_id string, refers_to string, target_uri string, source_digest string, block_digest string, content_length long, block string, record binary"
-_ATTRS = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
-#: Comments, elements whose content isn't text, and any other tag.
-_MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b{_ATTRS}>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9]*){_ATTRS}>|<[!?]{_ATTRS}>", re.S | re.I)
-_TITLE = re.compile(rf"<title\b{_ATTRS}>(.*?)</title\s*>", re.S | re.I)
-_LANG = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z0-9-]+)""", re.I)
-_LINK = re.compile(rf"""<a\b(?:[^>"']|"[^"]*"|'[^']*')*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+_SPACE = " \t\n\r\f"
+#: One piece of markup at a "<": a comment, an end tag, a start tag with its attributes, a declaration. All quantifiers
+#: are possessive or run to one fixed mark, so a failed match costs one pass; it ends the scan.
+_PIECE = re.compile(
+    rf"""<(?:!--(?P<comment>[\s\S]*?)(?:--!?>|\Z)
+      |/(?P<end>[a-zA-Z][^{_SPACE}/>]*+)[^>]*+>
+      |(?P<start>[a-zA-Z][^{_SPACE}/>]*+)(?P<attrs>(?:[^>=]++|=[{_SPACE}]*+(?:"[^"]*+"|'[^']*+'|[^{_SPACE}>"'][^{_SPACE}>]*+)?+)*+)>
+      |[!?/][^>]*+>)""",
+    re.X,
+)
+#: What may begin a piece of markup; any other "<" is text.
+_BEGIN = re.compile(r"<[a-zA-Z!?/]")
+_ATTR = re.compile(rf"""([^{_SPACE}/>=][^{_SPACE}/>=]*+)(?:[{_SPACE}]*+=[{_SPACE}]*+(?:"([^"]*+)"|'([^']*+)'|([^{_SPACE}>]*+)))?+""")
+_LANG = re.compile(r"[A-Za-z0-9-]+")
+#: Elements whose content is no markup, up to their end tag; and those whose content isn't text of the page.
+RAW = {name: re.compile(rf"</{name}(?=[{_SPACE}/>])", re.I) for name in ("script", "style", "title", "textarea", "xmp", "iframe")}
+HIDDEN = frozenset("head noscript template".split())
 #: Elements that end a line of text.
 BLOCKS = frozenset("address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul".split())
 
 
-def plain_text(payload: str) -> str:
-    """Text of an HTML payload: a line for each block, inner white space as one space, no empty lines."""
+def attribute(attrs: str, name: str) -> str | None:
+    """Value of a tag's attribute, the first of that name; empty where it has none, None where it isn't there."""
+    for m in _ATTR.finditer(attrs):
+        if m[1].lower() == name:
+            return html.unescape(next((x for x in (m[2], m[3], m[4]) if x is not None), ""))
+    return None
+
+
+@dataclass
+class Page:
+    """What one pass over a payload finds. text: a line for each block, inner white space as one space, no empty lines."""
+
+    text: str
+    title: str | None
+    language: str | None
+    links: list[str]
+
 
-    def tag(m: re.Match) -> str:
-        return "\n" if m[1] or (m[3] or "").lower() in BLOCKS else ""
+def scan(payload: str) -> Page:
+    """One linear pass over an HTML payload.
 
-    flat = html.unescape(_MARKUP.sub(tag, re.sub(r"[\r\n]+", " ", payload)))
-    return "\n".join(x for line in flat.split("\n") if (x := " ".join(line.split())))
+    Comments, declarations, scripts, styles, frames, templates and the head are no text; a title and the targets of links
+    are noted wherever they stand as markup, the language at the first html tag. A "<" that no letter, "/", "!" or "?"
+    follows is text. Markup that never ends takes the rest of the payload, as in browsers; so does an element without
+    its end tag whose content is no markup. A head also ends where the body begins.
+    """
+    out: list[str] = []
+    links: list[str] = []
+    title = language = hidden = None
+    at = 0
+    while True:
+        m = _BEGIN.search(payload, at)
+        if hidden is None:
+            out.append(_flat(payload[at : m.start() if m else len(payload)]))
+        if m is None or (piece := _PIECE.match(payload, m.start())) is None:
+            break
+        at = piece.end()
+        if (name := piece["end"]) is not None:
+            name = name.lower()
+            if name == hidden:
+                hidden = None
+            elif hidden is None and name in BLOCKS:
+                out.append("\n")
+        elif (name := piece["start"]) is not None:
+            name = name.lower()
+            if hidden == "head" and name == "body":
+                hidden = None
+            if name == "a" and (target := attribute(piece["attrs"], "href")) is not None:
+                links.append(target)
+            elif name == "html" and language is None:
+                said = _LANG.match((attribute(piece["attrs"], "lang") or "").strip())
+                language = said[0].lower() if said else None
+            elif name in RAW:
+                end = RAW[name].search(payload, at)
+                content = payload[at : end.start() if end else len(payload)]
+                if name == "title" and title is None and end:
+                    title = " ".join(html.unescape(content).split())
+                elif name == "textarea" and hidden is None:
+                    out.append(_flat(content))
+                at = end.start() if end else len(payload)
+            elif hidden is None and name in HIDDEN:
+                hidden = name
+            if hidden is None and (name in BLOCKS or name in RAW):
+                out.append("\n")
+    return Page("\n".join(x for line in "".join(out).split("\n") if (x := " ".join(line.split()))), title, language, links)
+
+
+def _flat(piece: str) -> str:
+    return (html.unescape(piece) if "&" in piece else piece).replace("\n", " ").replace("\r", " ")
+
+
+def plain_text(payload: str) -> str:
+    return scan(payload).text
 
 
 def digest(block: bytes) -> str:
@@ -71,22 +148,21 @@ def derive(source_id: str | None, uri: str | None, date: str, http: str | None,
     """The metadata and the conversion record of one response, as rows of SCHEMA.
 
     A null payload is an empty one, a null URI or header is left out of the records. A response without an id is named
-    by URI and payload digest.
+    by URI and payload digest. White space in id and URI is escaped.
     """
     body = (payload or "").encode("utf-8", "surrogatepass")
     source_digest = digest(body)
-    if uri is not None:  # header lines stay lines
-        uri = re.sub(r"\s+", "%20", uri.strip())
+    # header lines stay lines
+    uri, source_id = (None if x is None else re.sub(r"\s+", "%20", x.strip()) for x in (uri, source_id))
     refers = source_id or record_id("response", uri or "", source_digest)
     meta_id, text_id = record_id("metadata", refers), record_id("conversion", refers)
-    text = plain_text(payload or "")
-    title = _TITLE.search(payload or "")
-    lang = _LANG.search(payload or "")
+    page = scan(payload or "")
+    text = page.text
     fields = {
         "source-http-headers": [x for x in (http or "").split("\r\n") if x],
-        "title": " ".join(html.unescape(title[1]).split()) if title else None,
-        "language": lang[1].lower() if lang else None,
-        "outlinks": [html.unescape(next(x for x in m.groups() if x is not None)) for m in _LINK.finditer(payload or "")],
+        "title": page.title,
+        "language": page.language,
+        "outlinks": page.links,
         "payload-bytes": len(body), "text-bytes": len(text.encode("utf-8", "surrogatepass")), "conversion": text_id,
     }
     out = []

@@ -231,6 +231,83 @@ def test_plain_text():
     assert warc.plain_text("<p>x</p>" * 20_000).count("x") == 20_000
 
 
+def parsed(payload):
+    """Text, title, language and links by the standard library's parser."""
+    from html.parser import HTMLParser
+
+    class P(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.links, self.title, self.lang, self.hidden, self.raw, self.said = [], [], None, None, None, None, []
+
+        def handle_starttag(self, tag, attrs):
+            attrs = {k: v for k, v in reversed(attrs)}
+            if self.hidden == "head" and tag == "body":
+                self.hidden = None
+            if tag == "a" and "href" in attrs:
+                self.links.append(attrs["href"] or "")
+            if tag == "html" and self.lang is None and attrs.get("lang"):
+                self.lang = attrs["lang"].strip().lower()
+            if tag in ("script", "style", "title"):
+                self.raw, self.said = tag, []
+            elif self.hidden is None and tag in warc.HIDDEN:
+                self.hidden = tag
+            if self.hidden is None and (tag in warc.BLOCKS or tag in warc.RAW):
+                self.out.append("\n")
+
+        def handle_startendtag(self, tag, attrs):
+            self.handle_starttag(tag, attrs)
+
+        def handle_endtag(self, tag):
+            if tag == self.raw:
+                if tag == "title" and self.title is None:
+                    self.title = " ".join("".join(self.said).split())
+                self.raw = None
+            if tag == self.hidden:
+                self.hidden = None
+            elif self.hidden is None and tag in warc.BLOCKS:
+                self.out.append("\n")
+
+        def handle_data(self, data):
+            if self.raw:
+                self.said.append(data)
+            elif self.hidden is None:
+                self.out.append(data.replace("\n", " ").replace("\r", " "))
+
+    p = P()
+    p.feed(payload)
+    p.close()
+    return "\n".join(x for line in "".join(p.out).split("\n") if (x := " ".join(line.split()))), p.title, p.lang, p.links
+
+
+def test_scan_equals_a_parser():
+    import random
+
+    rng = random.Random(8)
+    pieces = ["word", " two words ", "&amp;", "a &lt; b", "<p>", "</p>", "<br/>", "<b class=x>", "</b>", "<a href='/one?a=1&amp;b=2'>", '<a title="x>y" href="/two">', "<a href=/three>", "<a name=n>", "</a>", "<!-- <p>note</p> -->", "<script>if (a < b) { '<p>' }</script>", "<style>p > a {}</style>", "<template><p>no</p></template>", "<noscript>no <a href=n></a></noscript>", "<title>T &amp; t</title>", "\n", "\r\n", "é", "1 < 2", "<H1 data-x=\"a'b\">", "</H1 >", "<td\tid = 'q'>", "<input disabled value=>", "<!DOCTYPE html>", "<li>"]
+    for _ in range(1500):
+        body = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 25)))
+        page = f'<html lang="{rng.choice(["en", "DE"])}"><head><title>Name</title><meta charset=utf-8></head><body>{body}</body></html>' if rng.random() < 0.5 else body
+        got = warc.scan(page)
+        assert (got.text, got.title, got.language, got.links) == parsed(page), page
+
+
+def test_scan_is_linear():
+    """Markup that never ends, and every other repetition, costs time in proportion to the payload."""
+    import time
+
+    for one in ("<a", "<html ", "<title>", "<a ", "<a href=\"", "<a href='x", "<!--", "<!", "</p", "<script>", "<a b='>", "<p \"'", "<template>", "&lt", "< ", "<a =\"' ="):
+        payload = one * ((1 << 20) // len(one))
+        began = time.time()
+        warc.scan(payload)
+        assert time.time() - began < 3, one
+
+
+def test_record_of_a_ragged_id():
+    rows = warc.derive("<urn:1>\r\nX: y", "u", "2024-01-01T00:00:00Z", None, None)
+    assert all("X" not in warc.parse(r[9])[0] and r[3] == "<urn:1>%20X:%20y" for r in rows)
+
+
 def test_records():
     meta, text = warc.derive("<urn:1>", "http://a/b c\r\nX: y", "2024-01-01T00:00:00Z", "HTTP/1.1 200 OK\r\nServer: s", HTML)
     for row in (meta, text):

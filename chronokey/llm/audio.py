@@ -7,7 +7,8 @@ from its integral image, are quantised to two bits each in Gray code: a 32-bit i
 Alignment: equal integers vote for their offset; at the offset with most votes the bit errors of the overlap are
 counted. Search: recordings with equal fingerprints form one class; the classes of a stated set of query recordings
 are held, in blocks, against all other classes. A task keeps one block's inverted index and streams classes past it,
-so neither a frequent integer nor a large group of near copies is ever expanded into rows.
+so neither a frequent integer nor a large group of near copies is ever expanded into rows. Where a pair of recordings
+has many equal integers (long steady tones), their votes are counted by correlation instead of pair by pair.
 """
 
 from __future__ import annotations
@@ -49,8 +50,10 @@ FILTERS = (
 WIDEST = 16
 #: Least votes for an offset and least overlap for a match, in integers.
 VOTES, OVERLAP = 3, 16
-#: Query classes in a block; classes that one task streams past a block.
-BLOCK, SLICE = 2_048, 20_000
+#: Integers of query classes in a block; classes that one task streams past a block.
+BLOCK, SLICE = 2_000_000, 20_000
+#: Pairs of equal integers that are written out at once.
+EXPAND = 1 << 20
 
 
 def wav(samples: np.ndarray, rate: int = RATE) -> bytes:
@@ -141,18 +144,49 @@ def fingerprint(x: np.ndarray) -> np.ndarray:
     return out
 
 
+def votes(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, votes): for each place of a minus place of b at which equal integers stand, how many do.
+
+    Rare integers vote pair by pair, at most EXPAND pairs at a time; an integer whose pairs would cost more than a
+    Fourier transform is correlated. Either way the counts are exact.
+    """
+    kinds, of_a = np.unique(a, return_inverse=True)
+    at = np.searchsorted(kinds, b)
+    there = kinds[np.minimum(at, len(kinds) - 1)] == b if len(kinds) else np.zeros(len(b), dtype=bool)
+    of_b, place_b = at[there], np.flatnonzero(there)
+    n_a, n_b = np.bincount(of_a, minlength=len(kinds)), np.bincount(of_b, minlength=len(kinds))
+    width = 1 << max(1, (len(a) + len(b)).bit_length())
+    heavy = n_a * n_b > 4 * width * width.bit_length()
+    total = np.zeros(len(a) + len(b), dtype=np.int64)
+    if heavy.any():
+        summed = np.zeros(width // 2 + 1, dtype=np.complex128)
+        for kind in np.flatnonzero(heavy):
+            mark_b = np.zeros(len(b))
+            mark_b[place_b[of_b == kind]] = 1.0
+            summed += np.fft.rfft((of_a == kind).astype(float), width) * np.conj(np.fft.rfft(mark_b, width))
+        found = np.rint(np.fft.irfft(summed, width)).astype(np.int64)
+        total[len(b) :] += found[: len(a)]
+        total[: len(b)] += found[width - len(b) :]
+    order = np.argsort(of_a, kind="stable")
+    first = np.r_[0, np.cumsum(n_a)]
+    light = np.flatnonzero(~heavy[of_b])
+    of_b, place_b = of_b[light], place_b[light]
+    n = n_a[of_b]
+    for group in np.split(np.arange(len(n)), np.flatnonzero(np.diff(np.cumsum(n) // EXPAND)) + 1):
+        some = n[group]
+        if m := int(some.sum()):
+            k = np.repeat(first[of_b[group]] + some - np.cumsum(some), some) + np.arange(m)
+            total += np.bincount(order[k] - np.repeat(place_b[group], some) + len(b), minlength=len(total))
+    offsets = np.flatnonzero(total)
+    return offsets - len(b), total[offsets]
+
+
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, float] | None:
     """(offset, votes, share of wrong bits): b's position p is a's position p + offset. None below VOTES or OVERLAP."""
     if not len(a) or not len(b):
         return None
-    order = np.argsort(a, kind="stable")
-    lo, hi = np.searchsorted(a[order], b, "left"), np.searchsorted(a[order], b, "right")
-    n = hi - lo
-    if not n.sum():
-        return None
-    at = order[np.repeat(hi - np.cumsum(n), n) + np.arange(n.sum())]
-    offsets, votes = np.unique(at - np.repeat(np.arange(len(b)), n), return_counts=True)
-    return _judge(a, b, offsets, votes)
+    offsets, found = votes(a, b)
+    return _judge(a, b, offsets, found) if len(offsets) else None
 
 
 def _judge(a: np.ndarray, b: np.ndarray, offsets: np.ndarray, votes: np.ndarray) -> tuple[int, int, float] | None:
@@ -183,16 +217,24 @@ class _Block:
         n = hi - lo
         if n.sum() < VOTES:
             return
+        if n.sum() > EXPAND:  # query by query, each within bounds
+            kinds = np.unique(b)
+            runs = zip(np.searchsorted(self.codes, kinds, "left"), np.searchsorted(self.codes, kinds, "right"))
+            for q in np.unique(np.concatenate([self.query[i:j] for i, j in runs])):
+                self._keep(q, other, align(self.prints[q], b))
+            return
         at = np.repeat(hi - np.cumsum(n), n) + np.arange(n.sum())
         key = self.query[at].astype(np.int64) << 32 | (self.place[at] - np.repeat(np.arange(len(b)), n) + (1 << 31))
-        key, votes = np.unique(key, return_counts=True)
+        key, found = np.unique(key, return_counts=True)
         query, offset = key >> 32, (key & 0xFFFFFFFF) - (1 << 31)
-        for q in np.unique(query[votes >= VOTES]):
+        for q in np.unique(query[found >= VOTES]):
             mine = query == q
-            got = _judge(self.prints[q], b, offset[mine], votes[mine])
-            if got and self.ids[q] != other:
-                off, v, wrong = got
-                self.best[q] = min(self.best[q], (wrong, -v, other, off, 1))
+            self._keep(q, other, _judge(self.prints[q], b, offset[mine], found[mine]))
+
+    def _keep(self, q: int, other: int, got: tuple[int, int, float] | None) -> None:
+        if got and self.ids[q] != other:
+            off, v, wrong = got
+            self.best[q] = min(self.best[q], (wrong, -v, other, off, 1))
 
 
 def _search():
@@ -260,7 +302,7 @@ def match(recordings: DataFrame, queries: Column, id_col: str, audio_col: str |
     found = rows.groupBy("codes").agg(F.min("rec_id").alias("class_id"), F.count("*").alias("copies"), F.max("asks").alias("asks"))
     found = written(found, "classes")
     usable = found.where((F.size("codes") > 0) & F.col("class_id").isNotNull())
-    size = usable.agg(F.count("*").alias("n"), F.count(F.when(F.col("asks"), 1)).alias("q")).first()
+    size = usable.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.when(F.col("asks"), F.size("codes"))), F.lit(0)).alias("q")).first()
     blocks, parts = max(1, -(-size["q"] // BLOCK)), max(1, -(-size["n"] // SLICE))
     place = F.pmod(F.xxhash64("class_id"), F.lit(blocks).cast("long")).cast("int")
     asks = usable.where("asks").select(place.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(0).alias("is_row"), "class_id", "codes")

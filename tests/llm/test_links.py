@@ -161,6 +161,33 @@ def test_audio_alignment():
     assert len(audio.fingerprint(np.zeros(1000))) == 0 == len(audio.fingerprint(np.empty(0)))
 
 
+@pytest.mark.parametrize("expand", [1 << 20, 7])
+def test_votes_brute_force(monkeypatch, expand):
+    """Votes by expansion and by correlation are those of all pairs."""
+    from collections import Counter
+
+    monkeypatch.setattr(audio, "EXPAND", expand)
+    rng = np.random.default_rng(4)
+    for a_len, b_len, kinds in ((40, 70, 5), (300, 200, 2), (600, 900, 1), (5, 3, 50), (1, 400, 1)):
+        a, b = (rng.integers(0, kinds, n).astype(np.uint32) * 9 for n in (a_len, b_len))
+        a[::7], b[::5] = 1, 2
+        want = Counter(i - j for i in range(a_len) for j in range(b_len) if a[i] == b[j])
+        assert dict(zip(*(x.tolist() for x in audio.votes(a, b)))) == want
+
+
+def test_steady_tone():
+    """An hour of one tone against another is counted without writing out its 800 million pairs, alone and in a block."""
+    import time
+
+    a = np.full(29_000, 77, dtype=np.uint32)
+    b = np.concatenate([np.arange(100, 600, dtype=np.uint32), a[:28_000]])
+    began = time.time()
+    assert audio.align(a, b)[1] == 28_000 and audio.align(a, b)[0] == 0
+    block = audio._Block([1, 2], [a, np.arange(100, 600, dtype=np.uint32)])
+    block.see(9, b)
+    assert [x[2:] for x in block.best] == [(9, 0, 1), (9, 0, 1)] and time.time() - began < 5
+
+
 def test_audio_filters_by_hand():
     """Integral images against plain sums over the picture."""
     x = tones(np.random.default_rng(3), 30)

@@ -121,7 +121,7 @@ def test_nearest(spark):
     m = rng.standard_normal((1500, 12)).astype(np.float32)
     m[100:140] = m[100]  # one class of copies
     rows = [(i, [float(x) for x in v], "s") for i, v in enumerate(m)]
-    bad = [(5000, None, None), (5050, [0.0] * 12, None), (5100, [float("nan")] + [1.0] * 11, None), (5150, [None] + [1.0] * 11, None), (5200, [float("inf")] + [1.0] * 11, None), (5250, [1.0, 2.0], None), (None, rows[0][1], None), (rows[3][0], rows[3][1], "repeat")]
+    bad = [(5000, None, None), (5050, [0.0] * 12, None), (5100, [float("nan")] + [1.0] * 11, None), (5150, [None] + [1.0] * 11, None), (5200, [float("inf")] + [1.0] * 11, None), (None, rows[0][1], None), (rows[3][0], rows[3][1], "repeat")]
     d = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>, score string")
     got = {}
     for r in ann.nearest(d, F.col("vec_id") % 50 == 0).collect():
@@ -143,6 +143,50 @@ def test_nearest(spark):
     assert ann.nearest(d.limit(0), F.lit(True)).count() == 0 and ann.nearest(d.where("vec_id = 5000"), F.lit(True)).count() == 0
 
 
+def test_nearest_any_scale_and_length(spark):
+    """Vectors of the smallest and largest doubles take part; each length is searched among its own."""
+    rng = np.random.default_rng(6)
+    m = rng.standard_normal((300, 8))
+    scale = np.ones(300)
+    scale[1::6], scale[2::6], scale[3::6] = 1e-200, 1e200, 1e-300
+    other = rng.standard_normal((70, 3))
+    rows = [(i, (v * z).tolist()) for i, (v, z) in enumerate(zip(m, scale))] + [(1000 + i, v.tolist()) for i, v in enumerate(other)] + [(5000, [5.0])]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(d, F.col("vec_id") % 10 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert set(got) == {*range(0, 300, 10), *range(1000, 1070, 10)}
+    for base, e in ((0, m), (1000, other)):
+        u = e / np.linalg.norm(e, axis=1, keepdims=True)
+        for q in range(0, len(e), 10):
+            s = u @ u[q]
+            s[q] = -9
+            best = np.argsort(-s)[:5]
+            assert [x for x, _ in got[base + q]] == (best + base).tolist() and np.allclose([x for _, x in got[base + q]], s[best], atol=1e-12)
+
+
+def test_budget_follows_the_data():
+    """On clusters the budget stays as the table grows a thousandfold; without structure it grows with it."""
+    rng = np.random.default_rng(7)
+    centres = rng.standard_normal((400, 32))
+    clustered = ann._unit(np.repeat(centres, 10, axis=0) + 0.05 * rng.standard_normal((4000, 32)))
+    loose = ann._unit(rng.standard_normal((4000, 32)))
+    depth = 6
+    small, large = (ann.budget(clustered[rng.permutation(4000)], n, ann.TREES, depth, 5) for n in (4_000, 4_000_000))
+    wide = ann.budget(loose, 4_000_000, ann.TREES, depth, 5)
+    assert large < 0.05 * 16 * 4_000_000 and wide > 5 * large and small <= large
+
+
+def test_queries_of_a_leaf_are_dealt(spark, monkeypatch):
+    """Results don't depend on how a leaf's queries and rows are dealt over tasks."""
+    rng = np.random.default_rng(8)
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((400, 6)))], "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, ann.nearest(d, F.col("vec_id") % 3 == 0).collect()))
+    monkeypatch.setattr(ann, "BLOCK", 7)
+    monkeypatch.setattr(ann, "SLICE", 30)
+    assert sorted(map(tuple, ann.nearest(d, F.col("vec_id") % 3 == 0).collect())) == want
+
+
 def tones(rng, n):
     t = np.arange(2048) / audio.RATE
     return np.concatenate([0.4 * np.sin(2 * np.pi * 220 * 2 ** (rng.integers(0, 24) / 12) * t) for _ in range(n)])

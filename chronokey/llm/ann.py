@@ -6,10 +6,10 @@ is routed to its leaf in each tree. Search: one queue holds the nodes of all tre
 far; leaves are opened, nearest first, until those opened hold the budget (rows, with multiplicity over the trees). The
 candidates of an opened leaf are reranked exactly, in double precision on the original vectors.
 
-Budget: measured, not a share of the table. The forest is searched for `ASKED` vectors of the sample, whose nearest are
-known, and the budget is what finds `RECALL` of them; doing so on a quarter of the sample, too, tells with which power of
-the table's size it grows. On clustered data that power is near 0, on data without structure near 1: there no index does
-better, and the recall asked for has its price (see the README).
+Budget: measured. The forest is searched for `ASKED` vectors of the sample, whose nearest are known, and the budget is
+the share of leaves that finds `RECALL` of them: a few leaves on clustered data, many on data without structure, where
+no index does better and the recall asked for has its price (see the README). The number of leaves opened doesn't grow
+with the table; a leaf's rows do once the sample can't part them further (beyond SAMPLE / LEAF * ROWS rows).
 
 Scale: equal vectors collapse to one class first (a vector held by a third of all rows is indexed once; a class keeps
 its k + 1 smallest ids, which is all a k-nearest result can use). Leaf contents meet their queries by an equality join
@@ -116,13 +116,10 @@ def needed(unit: np.ndarray, trees: int, depth: int, k: int, seed: int) -> float
 
 
 def budget(unit: np.ndarray, total: int, trees: int, depth: int, k: int, seed: int = 5) -> float:
-    """Rows a search opens in a table of `total` classes, by what it takes in the sample and in a quarter of it."""
+    """Rows a search opens in a table of `total` classes: those of as many leaves as it takes in the sample."""
     if len(unit) < 4 * LEAF:
         return float(total * trees)
-    whole = needed(unit, trees, depth, k, seed)
-    part = needed(unit[: len(unit) // 4], trees, max(1, depth - 2), k, seed)
-    power = min(1.0, max(0.0, np.log(whole / part) / np.log(4)))
-    return MARGIN * whole * max(1.0, total / len(unit)) ** power
+    return MARGIN * needed(unit, trees, depth, k, seed) * total / len(unit)
 
 
 def _split(keys: np.ndarray, values: np.ndarray):

@@ -20,7 +20,7 @@ def tokenizer(name: str) -> str:
 
 def op1_stratified_interleaving(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard(read(spark, sf_dir, "documents"), shards=24)
-    return rows.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "source")
+    return rows.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "source", "kept")
 
 
 def not_held_out(id_col: str = "doc_id"):

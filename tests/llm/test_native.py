@@ -32,28 +32,57 @@ def test_shards(spark):
     want = Counter((i, 8 + len((t or "").encode()), zlib.crc32((t or "").encode())) for (i, t), n in texts.items() for _ in range(n))
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == want
     assert {r["law"] for r in rows} == {"rows"} and {r["grown_shard"] for r in rows} == {None}
-    # Each shard holds its share of each source, within the rounding of a cut's two ends.
+    # Each shard holds its share of each source, within the rounding of its cuts and one small group.
     total, inside = Counter(r["source"] for r in rows), Counter((r["shard"], r["source"]) for r in rows)
-    assert all(abs(inside[s, x] - n / 7) <= 3 for s in range(7) for x, n in total.items())
+    assert all(abs(inside[s, x] - n / 7) <= 5 for s in range(7) for x, n in total.items())
     again = {(r["doc_id"], r["size"], r["shard"], r["slot"]) for r in sharding.shard(d.repartition(5), shards=7).collect()}
     assert {x for x in again if x[0] not in (None, 700)} == {(r["doc_id"], r["size"], r["shard"], r["slot"]) for r in rows if r["doc_id"] not in (None, 700)}
 
 
+def test_equal_texts_share_a_shard(spark):
+    """Groups that fit are whole, of every size and across sources; what doesn't fit is reported; counts differ by one at most."""
+    texts = [f"t{i}" for i in range(700)] + ["pair"] * 2 + ["ten"] * 10 + ["third"] * 33 + [""] * 5 + ["huge"] * 300 + [f"c{i % 60}" for i in range(240)]
+    rows = [(None if i % 97 == 0 else i, None if t == "" and i % 2 else t, f"s{i % 5}" if i % 13 else None) for i, t in enumerate(texts)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = sharding.shard(d, shards=24).collect()
+    by, sizes = defaultdict(set), Counter(r["shard"] for r in got)
+    for r in got:
+        by[r["size"], r["text_crc32"]].add(r["shard"])
+    assert len(got) == len(rows) and max(sizes.values()) - min(sizes.values()) <= 1 and len(sizes) == 24
+    assert all({r["slot"] for r in got if r["shard"] == s} == set(range(n)) for s, n in sizes.items())
+    count = Counter((r["size"], r["text_crc32"]) for r in got)
+    assert all((len(by[k]) == 1) == (n <= len(rows) // 24) for k, n in count.items())
+    assert all(r["kept"] == (len(by[r["size"], r["text_crc32"]]) == 1) for r in got)
+
+
+def test_shards_without_singles(spark):
+    """Where only groups are left, some must be split: counts come first, and no more groups are split than shards meet."""
+    d = spark.createDataFrame([(i, f"g{i // 7}", f"s{i % 3}") for i in range(700)], "doc_id long, text string, source string")
+    got = sharding.shard(d, shards=9).collect()
+    sizes, by = Counter(r["shard"] for r in got), defaultdict(set)
+    for r in got:
+        by[r["text_crc32"]].add(r["shard"])
+    assert max(sizes.values()) - min(sizes.values()) <= 1 and sum(len(x) > 1 for x in by.values()) <= 9
+    tiny = sharding.shard(d.limit(5), shards=9).collect()
+    assert len({r["shard"] for r in tiny}) == 5 and {r["slot"] for r in tiny} == {0}
+
+
 def test_shards_brute_force(spark):
-    """Positions as an order of fractional ranks in one process gives them."""
-    d = spark.createDataFrame([(i, f"t{i % 40}", f"s{i % 5}") for i in range(200)], "doc_id long, text string, source string")
+    """Positions of single rows as an order of fractional ranks in one process gives them."""
     import hashlib
 
     def h(x):
         return int(hashlib.md5(f"11:{x}".encode()).hexdigest()[:12], 16)
 
-    rows = [(i, f"t{i % 40}", f"s{i % 5}", h(hashlib.md5(f"t{i % 40}".encode()).hexdigest()), h(i)) for i in range(200)]
+    data = [(i, f"t{i}", f"s{i % 5}" if i % 7 else None) for i in range(200)]
+    rows = [(i, t, s, h(hashlib.md5(t.encode()).hexdigest()), h(i)) for i, t, s in data]
     place = {}
-    for s in range(5):
-        own = sorted((r for r in rows if r[2] == f"s{s}"), key=lambda r: (r[3] % 1024 * 64 + r[4] % 64, r[3], r[4], r[0]))
-        place |= {r[0]: ((k + 0.5) / len(own), r[4], r[2]) for k, r in enumerate(own)}
+    for s in {r[2] for r in rows}:
+        own = sorted((r for r in rows if r[2] == s), key=lambda r: (r[3] % 16 * 64 + r[4] % 64, r[3], r[4], r[0]))
+        place |= {r[0]: ((k + 0.5) / len(own), r[4], r[2] is None, r[2] or "") for k, r in enumerate(own)}
     order = sorted(place, key=lambda i: place[i])
     want = {i: math.floor(k * 24 / 200) for k, i in enumerate(order)}
+    d = spark.createDataFrame(data, "doc_id long, text string, source string")
     assert {r["doc_id"]: r["shard"] for r in sharding.shard(d).collect()} == want
 
 
@@ -201,4 +230,6 @@ def test_shard_sql(spark, tmp_path):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     want = con.execute(sharding.shard_sql()).fetchall()
     got = sharding.shard(read(spark, str(tmp_path), "documents")).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "source").collect()
+    names = [x[0] for x in con.description]
+    want = [tuple(r[names.index(c)] for c in ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "source")) for r in want]
     assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got)

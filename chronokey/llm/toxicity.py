@@ -34,7 +34,7 @@ LEAST_RATIO, LEAST_ODDS = 17.5, 3.0
 WINDOW = 6
 #: Longest stem; kept terms that mark a row fully.
 STEM = 8
-ENOUGH = 5
+ENOUGH = 10
 KEPT = 200_000
 QUOTES = "\"'“”„‟«»‹›‘’`"
 EDGES = QUOTES + ".,;:!?()[]{}<>|*#$%&@~^_-+=/\\…"

@@ -29,8 +29,8 @@ from .shared import written
 LAW = "rows"
 #: A unit of more than 1 / SMALL of a shard is dealt on its own.
 SMALL = 64
-#: Cells of a text's rows.
-ID_CELLS = 64
+#: Cells by text; by id there are as many as the square root of the table asks for.
+TEXT_CELLS = 16
 TEXT = ["ht", "text_crc32", "size"]
 
 
@@ -61,10 +61,14 @@ def _numbered(rows: DataFrame, by: list[str], cell: Column, order: list, name: s
     return (out if whole is None else out.withColumn(whole, F.col("of_"))).drop("cell", "first_", "of_")
 
 
+def _ids(cells: int) -> int:
+    return max(16, cells // 4)
+
+
 def _lined_up(rows: DataFrame, weight: str | None, order: list, cells: int) -> DataFrame:
     """rows (source, ht, hi, ...) in order of the fractional rank of their middle within their source: + start, the place on the line."""
     mine = F.lit(1) if weight is None else F.col(weight)
-    cell = F.pmod("ht", F.lit(cells)) * ID_CELLS + F.pmod("hi", F.lit(ID_CELLS))
+    cell = F.pmod("ht", F.lit(TEXT_CELLS)) * _ids(cells) + F.pmod("hi", F.lit(_ids(cells)))
     rows = _numbered(rows, ["source"], cell, ["ht", "hi", *order], "rank", weight, "of")
     rows = rows.withColumn("place", (F.col("rank") + mine / 2.0) / F.col("of")).drop("rank", "of")
     rows = written(rows, "places")
@@ -122,7 +126,7 @@ def shard(docs: DataFrame, shards: int = 24, seed: int = 11, id_col: str = "doc_
     rows = _joined(slim, hot, TEXT, "left")
     kept = _joined(rows.where("hot IS NULL").drop("hot"), units.select(*TEXT, "shard", "offset"), TEXT, "left")
     kept = written(kept, "assigned")
-    whole = _numbered(kept.where("shard IS NOT NULL"), TEXT, F.pmod("hi", F.lit(ID_CELLS)), ["hi", F.col("source").isNull(), "source", "doc_id"], "slot")
+    whole = _numbered(kept.where("shard IS NOT NULL"), TEXT, F.pmod("hi", F.lit(_ids(cells))), ["hi", F.col("source").isNull(), "source", "doc_id"], "slot")
     whole = whole.withColumn("slot", F.col("slot") + F.col("offset"))
     many = groups.select(*TEXT, F.lit(True).alias("many"))
     single = kept.where("shard IS NULL").drop("shard", "offset").withColumn("hot", F.lit(False)).unionByName(rows.where("hot"))
@@ -170,7 +174,7 @@ def shard_sql(shards: int = 24, seed: int = 11) -> str:
     return f"""WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS x FROM documents),
 s AS (SELECT doc_id, source, (length(x) // 2 + 8)::BIGINT AS size, ({crc32_sql("x")})::BIGINT AS text_crc32,
   {h.format("md5(t)")} AS ht, {h.format("coalesce(doc_id::VARCHAR, '')")} AS hi FROM d),
-z AS (SELECT count(*) AS total, count(*) // {shards} AS quota, (1 << greatest(4, ceil(log2(greatest(1, count(*))) / 2)::INT)) AS cells FROM s),
+z AS (SELECT count(*) AS total, count(*) // {shards} AS quota, (1 << greatest(4, ceil(log2(greatest(1, count(*))) / 2)::INT)) AS cells, greatest(16, cells // 4) AS ids FROM s),
 sh AS (SELECT range AS k FROM range({shards})),
 g AS (SELECT {text}, count(*) AS n, arg_min(hi, o) AS hi, any_value(source) FILTER (o = 1) AS source FROM
   (SELECT *, row_number() OVER (PARTITION BY {text} ORDER BY hi, source NULLS LAST) AS o FROM s) GROUP BY {text} HAVING count(*) > 1),
@@ -180,7 +184,7 @@ f(i, loads, shard, start) AS (SELECT 0::BIGINT, list_transform(range({shards}),
     CASE WHEN list_min(loads) + n <= quota THEN list_position(loads, list_min(loads))::BIGINT - 1 END, list_min(loads) FROM f JOIN b ON b.i = f.i + 1, z),
 l AS (SELECT arg_max(loads, i) AS loads FROM f),
 c AS (SELECT k, loads[k + 1] AS load, quota - loads[k + 1] AS room, sum(quota - loads[k + 1]) OVER (ORDER BY k) - (quota - loads[k + 1]) AS before, sum(quota - loads[k + 1]) OVER () AS rooms FROM sh, l, z),
-w AS (SELECT g.*, (sum(n) OVER (PARTITION BY source ORDER BY ht % cells * {ID_CELLS} + hi % {ID_CELLS}, ht, hi, text_crc32, size ROWS UNBOUNDED PRECEDING) - n + n / 2.0::DOUBLE)::DOUBLE / (sum(n) OVER (PARTITION BY source))::DOUBLE AS place FROM g, z WHERE n * {SMALL} <= quota),
+w AS (SELECT g.*, (sum(n) OVER (PARTITION BY source ORDER BY ht % {TEXT_CELLS} * ids + hi % ids, ht, hi, text_crc32, size ROWS UNBOUNDED PRECEDING) - n + n / 2.0::DOUBLE)::DOUBLE / (sum(n) OVER (PARTITION BY source))::DOUBLE AS place FROM g, z WHERE n * {SMALL} <= quota),
 w1 AS (SELECT *, sum(n) OVER (ORDER BY place, hi, source NULLS LAST, {text} ROWS UNBOUNDED PRECEDING) - n AS start, sum(n) OVER () AS m FROM w),
 w2 AS (SELECT w1.*, (SELECT count(*) - 1 FROM c WHERE w1.m * before // greatest(1, rooms) <= w1.start) AS shard FROM w1),
 w3 AS (SELECT w2.*, c.load FROM w2 JOIN c ON c.k = w2.shard WHERE start + n - m * before // greatest(1, rooms) <= room),
@@ -189,9 +193,9 @@ u AS (SELECT {text}, n, shard, sum(n) OVER (PARTITION BY shard ORDER BY ht % cel
 e AS (SELECT k, used, sum(free) OVER (ORDER BY k) - free AS bound FROM (SELECT k, coalesce((SELECT sum(n) FROM u WHERE u.shard = k), 0) AS used,
   ((k + 1) * total + {shards - 1}) // {shards} - (k * total + {shards - 1}) // {shards} - coalesce((SELECT sum(n) FROM u WHERE u.shard = k), 0) AS free FROM sh, z)),
 k1 AS (SELECT s.*, u.shard, u.start, g.n IS NULL AS kept FROM s LEFT JOIN u ON {unit.format("s")} LEFT JOIN g ON g.ht = s.ht AND g.text_crc32 = s.text_crc32 AND g.size = s.size),
-r AS (SELECT k1.*, (row_number() OVER (PARTITION BY source ORDER BY ht % cells * {ID_CELLS} + hi % {ID_CELLS}, ht, hi, doc_id NULLS FIRST, text_crc32, size) - 0.5::DOUBLE)
+r AS (SELECT k1.*, (row_number() OVER (PARTITION BY source ORDER BY ht % {TEXT_CELLS} * ids + hi % ids, ht, hi, doc_id NULLS FIRST, text_crc32, size) - 0.5::DOUBLE)
   / count(*) OVER (PARTITION BY source) AS place FROM k1, z WHERE shard IS NULL),
 p AS (SELECT doc_id, source, size, text_crc32, kept, row_number() OVER (ORDER BY place, hi, source NULLS LAST, doc_id NULLS FIRST, text_crc32, size) - 1 AS pos FROM r),
 q AS (SELECT p.*, (SELECT count(*) - 1 FROM e WHERE bound <= p.pos) AS shard FROM p)
 SELECT doc_id, source, size, text_crc32, '{LAW}' AS law, shard::INT AS shard, (pos - bound + used)::BIGINT AS slot, NULL::INT AS grown_shard, kept FROM q JOIN e ON e.k = q.shard
-UNION ALL SELECT doc_id, source, size, text_crc32, '{LAW}', shard::INT, (start + row_number() OVER (PARTITION BY {text} ORDER BY hi % {ID_CELLS}, hi, source NULLS LAST, doc_id NULLS FIRST) - 1)::BIGINT, NULL, true FROM k1 WHERE shard IS NOT NULL"""
+UNION ALL SELECT doc_id, source, size, text_crc32, '{LAW}', shard::INT, (start + row_number() OVER (PARTITION BY {text} ORDER BY hi % ids, hi, source NULLS LAST, doc_id NULLS FIRST) - 1)::BIGINT, NULL, true FROM k1, z WHERE shard IS NOT NULL"""

@@ -78,7 +78,7 @@ def test_shards_brute_force(spark):
     rows = [(i, t, s, h(hashlib.md5(t.encode()).hexdigest()), h(i)) for i, t, s in data]
     place = {}
     for s in {r[2] for r in rows}:
-        own = sorted((r for r in rows if r[2] == s), key=lambda r: (r[3] % 16 * 64 + r[4] % 64, r[3], r[4], r[0]))
+        own = sorted((r for r in rows if r[2] == s), key=lambda r: (r[3] % 16 * 16 + r[4] % 16, r[3], r[4], r[0]))
         place |= {r[0]: ((k + 0.5) / len(own), r[4], r[2] is None, r[2] or "") for k, r in enumerate(own)}
     order = sorted(place, key=lambda i: place[i])
     want = {i: math.floor(k * 24 / 200) for k, i in enumerate(order)}

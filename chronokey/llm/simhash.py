@@ -6,8 +6,10 @@ every bit position: the value of that bit's segment with the bit deleted. Two se
 variant; an equality join on the variants finds every link, and the full distance is verified.
 
 Scale: equal fingerprints (copies) collapse in a map-side combined aggregate before anything is indexed, so the index
-has 64 rows of 16 bytes for each *distinct* fingerprint. A variant's group streams through one task sorted by key and
-emits only a spanning forest of its links (never all pairs), found by breadth-first search over the unvisited rest.
+has 64 rows of 16 bytes for each *distinct* fingerprint. A variant with more than HOT fingerprints is split: outside its
+segment the 4 bits leave one of five pieces equal, so its rows are dealt by piece and value, about a seventieth of the
+comparisons and none lost. A group emits only a spanning forest of its links (never all pairs), found by breadth-first
+search over the unvisited rest; its fingerprints (8 bytes each) are held while it is searched.
 """
 
 from __future__ import annotations
@@ -26,6 +28,11 @@ from .shared import arrow_schema, map_texts, written
 #: (first bit, width) of the segments.
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
 MOST = 4
+#: Variants of more fingerprints than this are split by the pieces (first bit, width) of the 43 or 42 other bits.
+HOT = 1 << 14
+PIECES = ((0, 9), (9, 9), (18, 9), (27, 8), (35, 8))
+#: A group's key is its variant's, shifted by this, plus the number of its piece and value (0: the variant is whole).
+SPLIT = 12
 #: Groups up to this size are compared by shifted whole-batch subtraction, larger ones one by one.
 SMALL = 24
 #: near_copies: words of a shingle, least Jaccard similarity as a fraction, bands of the MinHash signature and hashes in each.
@@ -87,8 +94,24 @@ def variants(fps: DataFrame) -> DataFrame:
     return ones.select(F.expr("(shiftleft(cast(bit AS bigint), 32)) | ((shiftrightunsigned(fp, first) & (shiftleft(1L, width) - 1)) & ~shiftleft(1L, bit - first))").alias("key"), "fp")
 
 
+def grouped(fps: DataFrame, hot: int = HOT) -> DataFrame:
+    """(key, fp): the variants of fps, those of more than `hot` fingerprints split into groups by piece and value.
+
+    Sizes are counted map-side combined. The list of split variants is a written table, so whether it is broadcast is
+    Spark's choice by its size on disk.
+    """
+    index = variants(fps)
+    large = written(index.groupBy("key").count().where(F.col("count") > hot).select("key", F.lit(True).alias("large")), "large")
+    bit = F.expr("shiftright(key, 32)")
+    rest = F.when(bit < 21, F.expr("shiftrightunsigned(fp, 21)")).when(bit < 42, F.expr("(fp & (shiftleft(1L, 21) - 1)) | shiftleft(shiftrightunsigned(fp, 42), 21)"))
+    rest = rest.otherwise(F.expr("fp & (shiftleft(1L, 42) - 1)"))
+    subs = [1 + (F.lit(i) * 512) + F.shiftrightunsigned(rest, at).bitwiseAND(F.lit((1 << width) - 1)) for i, (at, width) in enumerate(PIECES)]
+    parts = F.explode(F.when(F.col("large"), F.array(*subs)).otherwise(F.array(F.lit(0).cast("long"))))
+    return index.join(large, "key", "left").select("key", "fp", parts.alias("sub")).select((F.shiftleft("key", SPLIT) + F.col("sub")).alias("key"), "fp")
+
+
 def _canonical(key: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """True where key is the first of the variants that a and b share, so that a pair is found once."""
+    """True where key is of the first of the variants that a and b share, so that a pair is found in one variant only."""
     diff = a ^ b
     best = np.full(len(a), -1, dtype=np.int64)
     for first, width in reversed(SEGMENTS):
@@ -96,7 +119,7 @@ def _canonical(key: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         one = np.bitwise_count(part) == 1
         at = np.where(one, np.log2(np.maximum(part, 1).astype(np.float64)).astype(np.int64), 0) + first
         best = np.where(np.bitwise_count(part) <= 1, at, best)
-    return best == (key >> 32)
+    return best == (key >> (32 + SPLIT))
 
 
 def spanning(fps: np.ndarray, most: int = MOST) -> tuple[np.ndarray, np.ndarray]:
@@ -194,12 +217,11 @@ def _links(most: int):
     return run
 
 
-def links(fps: DataFrame, most: int = MOST) -> DataFrame:
+def links(fps: DataFrame, most: int = MOST, hot: int = HOT) -> DataFrame:
     """(u, v): enough of the links between distinct fingerprints to connect all that links connect."""
-    if most >= 2 * len(SEGMENTS):
-        raise ValueError(f"three segments find links up to {2 * len(SEGMENTS) - 1} bits")
-    index = variants(fps)
-    return index.repartition("key").sortWithinPartitions("key").mapInArrow(_links(most), "u long, v long")
+    if most >= len(PIECES):
+        raise ValueError(f"three segments and {len(PIECES)} pieces find links up to {len(PIECES) - 1} bits")
+    return grouped(fps, hot).repartition("key").sortWithinPartitions("key").mapInArrow(_links(most), "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -80,6 +80,36 @@ def test_components(spark):
     assert simhash.near_duplicates(d.limit(0)).count() == 0
 
 
+def test_pieces_cover():
+    """The pieces take each bit outside a segment once, so 4 differing bits leave one of five equal."""
+    taken = [b for at, width in simhash.PIECES for b in range(at, at + width)]
+    assert taken == list(range(43)) and all(width <= 9 for _, width in simhash.PIECES)
+    assert len(simhash.PIECES) > simhash.MOST and 1 + 512 * len(simhash.PIECES) <= 1 << simhash.SPLIT
+
+
+@pytest.mark.parametrize("segment", range(3))
+def test_split_groups_brute_force(spark, segment):
+    """Thousands of unlike fingerprints that share a segment, with links of 1 to 4 bits anywhere: no link is lost."""
+    rng = random.Random(segment)
+    first, width = simhash.SEGMENTS[segment]
+    mask = (1 << width) - 1 << first
+    common = rng.getrandbits(64) & mask
+    fps = {rng.getrandbits(64) & ~mask | common for _ in range(1500)} | {0, (1 << 64) - 1}
+    for x in rng.sample(sorted(fps), 300):
+        fps.add(x ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 4))))
+    rows = list(enumerate(sorted(fps)))
+    d = spark.createDataFrame([(simhash.signed(x),) for _, x in rows], "fp long")
+    want = slow_components(rows)
+    sizes = simhash.grouped(d, 100).groupBy("key").count().agg({"count": "max"}).first()[0]
+    assert sizes < 100 < simhash.grouped(d, 5000).groupBy("key").count().agg({"count": "max"}).first()[0]
+    for hot in (0, 100):
+        found = {r["node"]: r["root"] for r in simhash.components(simhash.links(d, hot=hot)).collect()}
+        groups = {}
+        for (i, x), w in zip(rows, want):
+            groups.setdefault(found.get(simhash.signed(x), simhash.signed(x)), set()).add(w)
+        assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(want))
+
+
 def test_dense_group(spark):
     """Thousands of linked fingerprints of one group: all connected, few links given."""
     rng = random.Random(5)
@@ -112,7 +142,7 @@ def test_variants_meet(spark):
     for a, b in pairs:
         both = sorted(keys[simhash.signed(a)] & keys[simhash.signed(b)])
         assert both
-        one = simhash._canonical(np.array(both), np.full(len(both), a, np.uint64), np.full(len(both), b, np.uint64))
+        one = simhash._canonical(np.array(both) << simhash.SPLIT, np.full(len(both), a, np.uint64), np.full(len(both), b, np.uint64))
         assert one.sum() == 1
 
 

@@ -97,11 +97,16 @@ def variants(fps: DataFrame) -> DataFrame:
 def grouped(fps: DataFrame, hot: int = HOT) -> DataFrame:
     """(key, fp): the variants of fps, those of more than `hot` fingerprints split into groups by piece and value.
 
-    Sizes are counted map-side combined. The list of split variants is a written table, so whether it is broadcast is
-    Spark's choice by its size on disk.
+    A variant holds the fingerprints of two segment values, so one of them has over half; counting values takes three
+    rows for each fingerprint, and a variant of a value over that half is split too. The list of split variants is a
+    written table, so whether it is broadcast is Spark's choice by its size on disk.
     """
-    index = variants(fps)
-    large = written(index.groupBy("key").count().where(F.col("count") > hot).select("key", F.lit(True).alias("large")), "large")
+    values = F.array(*(F.struct(F.lit(first).alias("first"), F.lit(width).alias("width"), F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1)).alias("value")) for first, width in SEGMENTS))
+    heavy = fps.select(F.explode(values).alias("s")).groupBy("s").count().where(F.col("count") * 2 > hot)
+    bits = heavy.select("s.first", "s.value", F.explode(F.expr("sequence(s.first, s.first + s.width - 1)")).alias("bit"))
+    large = written(bits.select(F.expr("shiftleft(cast(bit AS bigint), 32) | (value & ~shiftleft(1L, bit - first))").alias("key"), F.lit(True).alias("large")).distinct(), "large")
+    # An explicit count, as adaptive coalescing would size tasks by the small rows that go in, not the 64 that come out.
+    index = variants(fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp"))
     bit = F.expr("shiftright(key, 32)")
     rest = F.when(bit < 21, F.expr("shiftrightunsigned(fp, 21)")).when(bit < 42, F.expr("(fp & (shiftleft(1L, 21) - 1)) | shiftleft(shiftrightunsigned(fp, 42), 21)"))
     rest = rest.otherwise(F.expr("fp & (shiftleft(1L, 42) - 1)"))

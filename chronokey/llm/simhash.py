@@ -105,8 +105,9 @@ def grouped(fps: DataFrame, hot: int = HOT) -> DataFrame:
     heavy = fps.select(F.explode(values).alias("s")).groupBy("s").count().where(F.col("count") * 2 > hot)
     bits = heavy.select("s.first", "s.value", F.explode(F.expr("sequence(s.first, s.first + s.width - 1)")).alias("bit"))
     large = written(bits.select(F.expr("shiftleft(cast(bit AS bigint), 32) | (value & ~shiftleft(1L, bit - first))").alias("key"), F.lit(True).alias("large")).distinct(), "large")
-    # An explicit count, as adaptive coalescing would size tasks by the small rows that go in, not the 64 that come out.
-    index = variants(fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp"))
+    # An explicit count, as adaptive coalescing would size tasks by the small rows that go in, not the 64 that come out;
+    # no column, as dealing by fp again would be taken for redundant after the aggregate.
+    index = variants(fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     bit = F.expr("shiftright(key, 32)")
     rest = F.when(bit < 21, F.expr("shiftrightunsigned(fp, 21)")).when(bit < 42, F.expr("(fp & (shiftleft(1L, 21) - 1)) | shiftleft(shiftrightunsigned(fp, 42), 21)"))
     rest = rest.otherwise(F.expr("fp & (shiftleft(1L, 42) - 1)"))

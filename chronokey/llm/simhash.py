@@ -10,6 +10,8 @@ has 64 rows of 16 bytes for each *distinct* fingerprint. A variant with more tha
 segment the 4 bits leave one of five pieces equal, so its rows are dealt by piece and value, about a seventieth of the
 comparisons and none lost. A group emits only a spanning forest of its links (never all pairs), found by breadth-first
 search over the unvisited rest; its fingerprints (8 bytes each) are held while it is searched.
+
+near_copies() takes four segments, which reach 7 bits (2 + 2 + 2 + 2 > 7), as one source of the pairs it checks.
 """
 
 from __future__ import annotations
@@ -39,6 +41,10 @@ SMALL = 24
 SHINGLE = 5
 SIMILAR = (4, 5)
 BANDS, IN_BAND = 30, 5
+#: Its fingerprints: words of their shingles (one changed word touches few), the bits two may differ by, segments and pieces.
+WIDE_SHINGLE, WIDE = 2, 7
+WIDE_SEGMENTS = ((0, 16), (16, 16), (32, 16), (48, 16))
+WIDE_PIECES = tuple((at, 6) for at in range(0, 48, 6))
 
 
 def fingerprint(text: str | None, words_in_shingle: int = 4) -> int:
@@ -85,42 +91,46 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_texts(slim, "doc_id long, fp long, text_hash long", work)
 
 
-def variants(fps: DataFrame) -> DataFrame:
+def _by_segment(bit: str, segments: tuple, value: list) -> str:
+    """SQL: the value given for the segment of a bit."""
+    return "CASE " + " ".join(f"WHEN {bit} < {at + width} THEN {v}" for (at, width), v in zip(segments[:-1], value)) + f" ELSE {value[-1]} END"
+
+
+def variants(fps: DataFrame, segments: tuple = SEGMENTS) -> DataFrame:
     """fp -> 64 rows (key, fp). key: the deleted bit's number over the segment's value with that bit cleared."""
     ones = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit"))
-    first = F.expr("CASE WHEN bit < 21 THEN 0 WHEN bit < 42 THEN 21 ELSE 42 END")
-    width = F.expr("CASE WHEN bit < 42 THEN 21 ELSE 22 END")
+    first = F.expr(_by_segment("bit", segments, [at for at, _ in segments]))
+    width = F.expr(_by_segment("bit", segments, [width for _, width in segments]))
     ones = ones.withColumn("first", first).withColumn("width", width)
     return ones.select(F.expr("(shiftleft(cast(bit AS bigint), 32)) | ((shiftrightunsigned(fp, first) & (shiftleft(1L, width) - 1)) & ~shiftleft(1L, bit - first))").alias("key"), "fp")
 
 
-def grouped(fps: DataFrame, hot: int = HOT) -> DataFrame:
+def grouped(fps: DataFrame, hot: int = HOT, segments: tuple = SEGMENTS, pieces: tuple = PIECES) -> DataFrame:
     """(key, fp): the variants of fps, those of more than `hot` fingerprints split into groups by piece and value.
 
     A variant holds the fingerprints of two segment values, so one of them has over half; counting values takes three
     rows for each fingerprint, and a variant of a value over that half is split too. The list of split variants is a
     written table, so whether it is broadcast is Spark's choice by its size on disk.
     """
-    values = F.array(*(F.struct(F.lit(first).alias("first"), F.lit(width).alias("width"), F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1)).alias("value")) for first, width in SEGMENTS))
+    values = F.array(*(F.struct(F.lit(first).alias("first"), F.lit(width).alias("width"), F.shiftrightunsigned("fp", first).bitwiseAND(F.lit((1 << width) - 1)).alias("value")) for first, width in segments))
     heavy = fps.select(F.explode(values).alias("s")).groupBy("s").count().where(F.col("count") * 2 > hot)
     bits = heavy.select("s.first", "s.value", F.explode(F.expr("sequence(s.first, s.first + s.width - 1)")).alias("bit"))
     large = written(bits.select(F.expr("shiftleft(cast(bit AS bigint), 32) | (value & ~shiftleft(1L, bit - first))").alias("key"), F.lit(True).alias("large")).distinct(), "large")
     # An explicit count, as adaptive coalescing would size tasks by the small rows that go in, not the 64 that come out;
     # no column, as dealing by fp again would be taken for redundant after the aggregate.
-    index = variants(fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    bit = F.expr("shiftright(key, 32)")
-    rest = F.when(bit < 21, F.expr("shiftrightunsigned(fp, 21)")).when(bit < 42, F.expr("(fp & (shiftleft(1L, 21) - 1)) | shiftleft(shiftrightunsigned(fp, 42), 21)"))
-    rest = rest.otherwise(F.expr("fp & (shiftleft(1L, 42) - 1)"))
-    subs = [1 + (F.lit(i) * 512) + F.shiftrightunsigned(rest, at).bitwiseAND(F.lit((1 << width) - 1)) for i, (at, width) in enumerate(PIECES)]
+    index = variants(fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))), segments)
+    above = [f"shiftleft(shiftrightunsigned(fp, {at + width}), {at})" if at + width < 64 else "0L" for at, width in segments]
+    rest = F.expr(_by_segment("shiftright(key, 32)", segments, [f"(fp & (shiftleft(1L, {at}) - 1)) | {high}" for (at, _), high in zip(segments, above)]))
+    subs = [1 + (F.lit(i) * 512) + F.shiftrightunsigned(rest, at).bitwiseAND(F.lit((1 << width) - 1)) for i, (at, width) in enumerate(pieces)]
     parts = F.explode(F.when(F.col("large"), F.array(*subs)).otherwise(F.array(F.lit(0).cast("long"))))
     return index.join(large, "key", "left").select("key", "fp", parts.alias("sub")).select((F.shiftleft("key", SPLIT) + F.col("sub")).alias("key"), "fp")
 
 
-def _canonical(key: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _canonical(key: np.ndarray, a: np.ndarray, b: np.ndarray, segments: tuple = SEGMENTS) -> np.ndarray:
     """True where key is of the first of the variants that a and b share, so that a pair is found in one variant only."""
     diff = a ^ b
     best = np.full(len(a), -1, dtype=np.int64)
-    for first, width in reversed(SEGMENTS):
+    for first, width in reversed(segments):
         part = (diff >> np.uint64(first)) & np.uint64((1 << width) - 1)
         one = np.bitwise_count(part) == 1
         at = np.where(one, np.log2(np.maximum(part, 1).astype(np.float64)).astype(np.int64), 0) + first
@@ -194,7 +204,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
         yield np.concatenate([k for k, _ in held]), np.concatenate([f for _, f in held])
 
 
-def _links(most: int):
+def _links(most: int, segments: tuple):
     out = arrow_schema("u long, v long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +221,7 @@ def _links(most: int):
                 a, b, kk = f[d:][same], f[:-d][same], k[d:][same]
                 near = np.bitwise_count(a ^ b) <= most
                 a, b, kk = a[near], b[near], kk[near]
-                first = _canonical(kk, a, b)
+                first = _canonical(kk, a, b, segments)
                 pairs += zip(a[first].tolist(), b[first].tolist())
             for i in np.flatnonzero(sizes > SMALL):
                 a, b = spanning(fp[starts[i] : starts[i] + sizes[i]], most)
@@ -223,11 +233,12 @@ def _links(most: int):
     return run
 
 
-def links(fps: DataFrame, most: int = MOST, hot: int = HOT) -> DataFrame:
+def links(fps: DataFrame, most: int = MOST, hot: int = HOT, segments: tuple = SEGMENTS, pieces: tuple = PIECES) -> DataFrame:
     """(u, v): enough of the links between distinct fingerprints to connect all that links connect."""
-    if most >= len(PIECES):
-        raise ValueError(f"three segments and {len(PIECES)} pieces find links up to {len(PIECES) - 1} bits")
-    return grouped(fps, hot).repartition("key").sortWithinPartitions("key").mapInArrow(_links(most), "u long, v long")
+    reach = min(2 * len(segments), len(pieces)) - 1
+    if most > reach:
+        raise ValueError(f"{len(segments)} segments and {len(pieces)} pieces find links up to {reach} bits")
+    return grouped(fps, hot, segments, pieces).repartition("key").sortWithinPartitions("key").mapInArrow(_links(most, segments), "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -365,14 +376,26 @@ def _group_links():
     return run
 
 
+def _by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """(a, b): pairs of nodes (fp, n) whose fingerprints `sim` are equal or linked at WIDE bits, each sim by its smallest node."""
+    node = F.struct("fp", "n")
+    sims = written(nodes.groupBy("sim").agg(F.min(node).alias("rep"), F.count("*").alias("c")), "sims")
+    equal = nodes.join(sims.where("c > 1"), "sim").where("fp <> rep.fp").select(F.col("rep").alias("a"), node.alias("b"))
+    found = written(links(sims.select(F.col("sim").alias("fp")), WIDE, HOT, WIDE_SEGMENTS, WIDE_PIECES), "links")
+    ends = (sims.select(F.col("sim").alias(k), F.col("rep").alias(r)) for k, r in (("u", "a"), ("v", "b")))
+    return found.join(next(ends), "u").join(next(ends), "v").select("a", "b").union(equal)
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: (doc_id, fp, text_hash, root), components of texts whose word shingles are similar.
 
     Two texts link at a Jaccard similarity of SIMILAR or more over SHINGLE-word shingles (of lower-case words), checked
-    exactly on the texts. Pairs come from MinHash bands: a pair at exactly that similarity shares none with probability
-    (1 - 0.8^5)^30 = 7e-6, a closer pair less. fp names the shingle set, so equal sets are one node; null and wordless
-    texts are one node. First each band's nodes are held against the smallest of them; groups that this leaves in several
-    components are then compared in place, set by set, and their pairs never become rows.
+    exactly on the texts. Pairs come from SimHash fingerprints that differ by WIDE or fewer bits, through the variants of
+    links() in four segments, and, as similar texts may differ by more bits, from MinHash bands: a pair at exactly that
+    similarity shares none with probability (1 - 0.8^5)^30 = 7e-6, a closer pair less. fp names the shingle set, so equal
+    sets are one node; null and wordless texts are one node. First the fingerprints' links are checked and each band's
+    nodes are held against the smallest of them; groups that this leaves in several components are then compared in place,
+    set by set, and their pairs never become rows.
     """
 
     def work(cols):
@@ -380,11 +403,12 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         sets = [shingle_set(t) for t in texts]
         from xxhash import xxh64_intdigest
 
-        return [ids, hashes, [signed(xxh64_intdigest(s.tobytes(), seed=42)) for s in sets], [len(s) for s in sets], [bands(s) for s in sets]]
+        sims = [signed(fingerprint(t, WIDE_SHINGLE)) for t in texts]
+        return [ids, hashes, [signed(xxh64_intdigest(s.tobytes(), seed=42)) for s in sets], [len(s) for s in sets], [bands(s) for s in sets], sims]
 
     slim = docs.select(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col)), F.col(text_col))
-    rows = written(map_texts(slim, "doc_id long, text_hash long, fp long, n long, keys array<long>", work), "sketches")
-    nodes = written(rows.groupBy("fp").agg(F.min("text_hash").alias("text_hash"), F.first("n").alias("n"), F.first("keys").alias("keys")), "sets")
+    rows = written(map_texts(slim, "doc_id long, text_hash long, fp long, n long, keys array<long>, sim long", work), "sketches")
+    nodes = written(rows.groupBy("fp").agg(F.min("text_hash").alias("text_hash"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.min("sim").alias("sim")), "sets")
 
     def near(a: str, b: str):  # sets whose sizes differ by more can't be similar
         return SIMILAR[1] * F.least(a, b) >= SIMILAR[0] * F.greatest(a, b)
@@ -392,7 +416,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     index = nodes.select("fp", "n", F.explode("keys").alias("key"))
     shared = index.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("fp", "n")).alias("low")).where("c > 1").select("key", "low")
     meets = written(index.join(shared, "key").select("key", "fp", "n", F.col("low.fp").alias("low"), F.col("low.n").alias("low_n")), "meets")
-    pairs = written(meets.where((F.col("fp") != F.col("low")) & near("n", "low_n")).select(F.col("low").alias("u"), F.col("fp").alias("v")).distinct(), "pairs")
+    stars = meets.where(F.col("fp") != F.col("low")).select(F.struct(F.col("low").alias("fp"), F.col("low_n").alias("n")).alias("a"), F.struct("fp", "n").alias("b"))
+    pairs = _by_fingerprint(nodes).union(stars).where(near("a.n", "b.n"))
+    pairs = written(pairs.select(F.least("a.fp", "b.fp").alias("u"), F.greatest("a.fp", "b.fp").alias("v")).distinct(), "pairs")
     texts = written(_texts(nodes, pairs.select(F.col("u").alias("fp")).union(pairs.select("v")), docs, text_col), "texts")
     rows_of = pairs.join(texts.toDF("v", "tv"), "v").join(texts.toDF("u", "tu"), "u").select("u", "v", "tu", "tv")
     edges = written(map_texts(rows_of, "u long, v long", _similar_pairs), "similar")

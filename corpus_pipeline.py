@@ -2,9 +2,10 @@
 
 1. quality: ordinal regression on the ratings of the documents at hand; those whose probability of the highest grade
    is below one half go. 2. toxicity: lexicon and context score, learnt from the labels whose crc32(doc_id) mod 5 isn't
-0; those at one half or more go. 3. near duplicates: of each component linked by a Jaccard similarity of 0.8 over
-5-word shingles one document stays. 4. mixing: whole copies and Pareto samples bring the sources to their target weights;
-a document may come twice. 5. encoding: SentencePiece ids of the whole text, decoded again.
+0; those at one half or more go. 3. near duplicates: SimHash links of 7 bits and MinHash bands give pairs that are
+checked exactly; of each component linked by a Jaccard similarity of 0.8 over 5-word shingles one document stays.
+4. mixing: whole copies and Pareto samples bring the sources to their target weights; a document may come twice.
+5. encoding: SentencePiece ids of the whole text, decoded again.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [("quality", quality_stage), ("toxicity", toxicity_stage), ("near_duplicates", near_duplicate_stage), ("mixing", mixing_stage), ("encoding", encoding_stage)]
 
-#: No SQL has MinHash bands, trained scores or piece ids; tests hold the stages against brute force.
+#: No SQL has SimHash links, MinHash bands, trained scores or piece ids; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

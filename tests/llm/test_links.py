@@ -497,3 +497,55 @@ def test_pipeline_near_copies(spark):
     kept = sorted(r["doc_id"] for r in pipeline.near_duplicate_stage(spark, d, "").collect())
     assert kept == sorted(set(up.values())) and apart > 20 and len(set(up.values())) < len(docs) - 50
     assert pipeline.near_duplicate_stage(spark, d.limit(0), "").count() == 0
+
+
+@pytest.mark.parametrize("segment", range(4))
+def test_wide_links_brute_force(spark, segment):
+    """Fingerprints that share a segment, with links of 1 to 7 bits anywhere, whole and split groups: no link is lost."""
+    rng = random.Random(segment)
+    first, width = simhash.WIDE_SEGMENTS[segment]
+    assert [b for at, n in simhash.WIDE_SEGMENTS for b in range(at, at + n)] == list(range(64)) and [b for at, n in simhash.WIDE_PIECES for b in range(at, at + n)] == list(range(64 - width))
+    mask = (1 << width) - 1 << first
+    common = rng.getrandbits(64) & mask
+    fps = {rng.getrandbits(64) & ~mask | common for _ in range(600)} | {0, (1 << 64) - 1}
+    for x in rng.sample(sorted(fps), 200):
+        fps.add(x ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, simhash.WIDE))))
+    fps = sorted(fps)
+    d = spark.createDataFrame([(simhash.signed(x),) for x in fps], "fp long")
+    up = list(range(len(fps)))
+    for i, a in enumerate(fps):
+        for j in range(i):
+            if (a ^ fps[j]).bit_count() <= simhash.WIDE and up[i] != up[j]:
+                low, high = sorted((up[i], up[j]))
+                up = [low if x == high else x for x in up]
+    for hot in (0, simhash.HOT):
+        found = {r["node"]: r["root"] for r in simhash.components(simhash.links(d, simhash.WIDE, hot, simhash.WIDE_SEGMENTS, simhash.WIDE_PIECES)).collect()}
+        groups = {}
+        for x, w in zip(fps, up):
+            groups.setdefault(found.get(simhash.signed(x), simhash.signed(x)), set()).add(w)
+        assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(up))
+    with pytest.raises(ValueError):
+        simhash.links(d, simhash.WIDE)
+
+
+def test_near_copies_by_fingerprint(spark, monkeypatch):
+    """The pipeline's near copies come from SimHash links first: they are found without any MinHash band, and checked."""
+    monkeypatch.setattr(simhash, "bands", lambda s: [])
+    rng = random.Random(4)
+    words = ["".join(rng.choice("lmnrst") + rng.choice("aeiou") for _ in range(3)) for _ in range(900)]
+    docs = []
+    for i in range(30):
+        own = [rng.choice(words) for _ in range(200)]
+        one = own[:100] + ["other"] + own[101:]
+        turned = " ".join(own[100:] + own[:100]).split()  # near by fingerprint and by shingles
+        half = [w if k % 12 else "other" for k, w in enumerate(own)]  # its shingles are too few alike
+        docs += [(10 * i + k, " ".join(t)) for k, t in enumerate((own, one, turned, half))]
+    sets = {i: simhash.shingle_set(t) for i, t in docs}
+    sims = {i: simhash.fingerprint(t, simhash.WIDE_SHINGLE) for i, t in docs}
+    want = {(i, j) for i in sets for j in sets if i < j and (sims[i] ^ sims[j]).bit_count() <= simhash.WIDE and simhash.similar(sets[i], sets[j])}
+    assert len(want) > 50 and not any(simhash.similar(sets[i], sets[i + 3]) for i in sets if i % 10 == 0)
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    root = {r["doc_id"]: r["root"] for r in simhash.near_copies(d).collect()}
+    linked = sum(root[i] == root[j] for i, j in want)
+    assert linked > 0.9 * len(want)  # a link by way of a third text that isn't similar to both is left to the bands
+    assert all(root[i] != root[j] for i in root for j in root if i // 10 != j // 10) and all(root[i] != root[i + 3] for i in root if i % 10 == 0)
